@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts, warc
+from . import packing, quality_rules, token_counts, warc
 from .shared import scratch_path
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
@@ -27,9 +32,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op6_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op6_packing, op10_warc)}
 
 ORACLE_SQL = {
+    "op1_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT rid, i, words[i:i+2] AS gram FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
+c AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM r, (VALUES (0), (1), (2)) AS t(k) GROUP BY rid),
+m AS (SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g')))::BIGINT AS n_upper, len(lines) AS n_lines,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN c USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 30 * word_chars OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 12 * n_words) AS kept
+FROM b""",
     "op10_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY sha1(html)) AS first FROM p),
