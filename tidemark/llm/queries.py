@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, token_counts, warc
+from . import minhash, packing, quality_rules, token_counts, warc
 from .shared import scratch_path
 
 
@@ -26,13 +26,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 1)
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op6_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op6_packing, op7_minhash, op10_warc)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -51,6 +55,18 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 30 * word_chars OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 12 * n_words) AS kept
 FROM b""",
+    "op7_minhash": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN words ELSE words[i:i+2] END AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, least(len(words), 1)) + 1)) AS i FROM w)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+h AS MATERIALIZED (SELECT doc_id, md5(array_to_string(g, ' ')) AS g FROM s),
+links AS MATERIALIZED (SELECT u, v FROM (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM h a JOIN h b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL) p
+  JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+c AS (SELECT u AS doc_id, min(v) AS m FROM reach GROUP BY u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
     "op10_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY sha1(html)) AS first FROM p),

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,3 +162,36 @@ def words_of(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int,
     data, offsets = text_buffers(column)
     for a, b in slices(offsets):
         yield a, b, Words(data, offsets[a : b + 1], lower)
+
+
+# --- sorted groups ---------------------------------------------------------------------------
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of equal ``keys`` in a stream of batches that is sorted by them (null equals null)."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+        new = np.zeros(n, bool)
+        first = tuple(c[0].as_py() for c in columns)
+        new[0] = bool(held) and first != last
+        for c in columns:
+            values = pa.compute.fill_null(c, 0).to_numpy(zero_copy_only=False)
+            new[1:] |= values[1:] != values[:-1]
+            if c.null_count:
+                null = c.is_null().to_numpy(zero_copy_only=False)
+                new[1:] |= null[1:] != null[:-1]
+        last, at = tuple(c[n - 1].as_py() for c in columns), 0
+        for cut in [*np.flatnonzero(new).tolist(), n]:
+            if cut > at:
+                held.append(batch.slice(at, cut - at))
+            if cut < n and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = cut
+    if held:
+        yield pa.Table.from_batches(held)
