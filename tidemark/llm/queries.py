@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, packing, quality_rules, token_counts, warc
+from . import minhash, packing, quality_rules, substring_dedup, token_counts, warc
 from .shared import scratch_path
 
 
@@ -18,6 +19,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), 20)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
@@ -36,7 +42,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op6_packing, op7_minhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op6_packing, op7_minhash, op10_warc)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -55,6 +61,15 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 30 * word_chars OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 12 * n_words) AS kept
 FROM b""",
+    "op2_substring_dedup": r"""
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS MATERIALIZED (SELECT doc_id, i, md5(array_to_string(words[i:i+19], ' ')) AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+r AS MATERIALIZED (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM g) WHERE n > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, i + k AS i FROM r, range(0, 20) AS t(k)),
+p AS (SELECT doc_id, i, words[i] AS word FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w)),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""",
     "op7_minhash": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN words ELSE words[i:i+2] END AS g

@@ -75,7 +75,7 @@ BYTE_BASE, WORD_BASE, WORD_BASE_2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
-def _power(base: int, n: int, inverse: bool = False) -> np.ndarray:
+def power(base: int, n: int, inverse: bool = False) -> np.ndarray:
     """base ** i modulo 2**64 for i < n (of the inverse, if asked for)."""
     have = _powers.get((base, inverse))
     if have is None or len(have) < n:
@@ -102,8 +102,8 @@ def runs_hash(values: np.ndarray, base: int, k: int) -> np.ndarray:
     if n < k:
         return np.zeros(0, np.uint64)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * _power(base, n), out=total[1:])
-    return mix((total[k:] - total[:-k]) * _power(base, n + 1, True)[: n - k + 1])
+    np.cumsum(values * power(base, n), out=total[1:])
+    return mix((total[k:] - total[:-k]) * power(base, n + 1, True)[: n - k + 1])
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +139,8 @@ class Words:
         self.begin = np.flatnonzero(now & (starts | ~before))
         self.end = np.flatnonzero(before & (starts | ~now))
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _power(BYTE_BASE, n), out=total[1:])
-        inverse = _power(BYTE_BASE, n + 1, True)
+        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power(BYTE_BASE, n), out=total[1:])
+        inverse = power(BYTE_BASE, n + 1, True)
         self.hashes = mix((total[self.end] - total[self.begin]) * inverse[self.begin] + (self.end - self.begin).astype(np.uint64))
         self.first = np.searchsorted(self.begin, offsets)
 
