@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, quality_rules, substring_dedup, token_counts, warc
+from . import embedding_dedup, minhash, packing, quality_rules, substring_dedup, token_counts, warc
 from .shared import scratch_path
 
 
@@ -36,13 +36,17 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op6_packing, op7_minhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op6_packing, op7_minhash, op9_embedding_dedup, op10_warc)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -82,6 +86,14 @@ reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l
 c AS (SELECT u AS doc_id, min(v) AS m FROM reach GROUP BY u)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
+    "op9_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda e: e * e)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+n AS (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+c AS (SELECT u AS vec_id, min(v) AS m FROM reach GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)""",
     "op10_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY sha1(html)) AS first FROM p),
