@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, minhash, packing, quality_rules, substring_dedup, token_counts, warc
-from .shared import scratch_path
+from . import embedding_dedup, language_id, minhash, packing, quality_classifier, quality_rules, sentencepiece_fst, substring_dedup, token_counts, warc
+from .shared import crc_bucket, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(crc_bucket(F.col("doc_id"), 4) != 2))
+    return language_id.identify(docs, model).select("doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"), rows=crc_bucket(F.col("doc_id"), 3) != 1)
+    return quality_classifier.classify(docs, model).select("doc_id", (crc_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 1)
 
@@ -36,6 +48,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentencepiece_fst.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"), F.sha2("text", 256).alias("decoded_sha256"), "restored")
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.98)
 
@@ -46,7 +63,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op6_packing, op7_minhash, op9_embedding_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
