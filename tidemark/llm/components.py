@@ -13,39 +13,53 @@ from pyspark.sql import functions as F
 from .shared import stored
 
 
+#: Up to so many edges (a few MB) the joins' other side is broadcast and results take few files.
+SMALL, FEW = 100_000, 8
+
+
 def _least(pairs: DataFrame) -> DataFrame:
     """(u, m): the least neighbour of each u, or u if that is smaller. Partial minima go into the shuffle."""
     return pairs.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = stored(_least(both), "cc-least")
-    return both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+class _Rounds:
+    """Where the edges are many, the least neighbours are written before they are joined: both sides of the
+    join are then plain exchanges, and Spark can split the rows of a hub. The edges never become more."""
+
+    def __init__(self, edges: DataFrame):
+        self.small = edges.count() <= SMALL
+
+    def side(self, least: DataFrame) -> DataFrame:
+        return F.broadcast(least.coalesce(FEW)) if self.small else stored(least, "cc-least")
+
+    def kept(self, edges: DataFrame) -> DataFrame:
+        return stored(edges.coalesce(FEW) if self.small else edges, "cc-edges")
+
+    def large_star(self, edges: DataFrame) -> DataFrame:
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        return both.where("v > u").join(self.side(_least(both)), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+    def small_star(self, edges: DataFrame) -> DataFrame:
+        least = self.side(_least(edges))
+        linked = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        return linked.unionByName(edges.select("u").join(least, "u").select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = stored(_least(edges), "cc-least")
-    linked = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-    return linked.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down, or only edges up."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 OR down = 1 AND up = 1").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component_id) for every id in an edge; ``edges`` has two bigint columns u and v.
 
     Loops, repeated edges, either direction and null ends are allowed (null ends are dropped). Each
-    round's edges are written to the scratch folder. The hub of a large component is a key of many rows
-    in the joins, where the other side has one row a key: Spark splits such partitions.
+    round's edges are written to the scratch folder.
     """
-    edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = stored(edges, "cc-edges")
-    state = None
-    while True:
-        # stars alone stay as they are: the edges then settle
-        edges = stored(_small_star(stored(_large_star(edges), "cc-edges")), "cc-edges")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state or not now[0]:
-            break
-        state = now
+    edges = stored(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
+    rounds = _Rounds(edges)
+    while not _are_stars(edges):
+        edges = rounds.kept(rounds.small_star(rounds.kept(rounds.large_star(edges))))
     stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     return stars.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())

@@ -23,7 +23,7 @@ from .components import connected_components
 from .shared import WORD_BASE, mix, runs_hash, sorted_groups, stored, words_of
 
 #: Rows of one side of a comparison block.
-BLOCK = 128
+BLOCK = 512
 _STEP, _STEP_2 = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -129,7 +129,7 @@ def _chunks(sets: Iterator[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]
 
 def _leader_pairs(members: DataFrame) -> DataFrame:
     """(u, v): each class with the leader of each of its buckets, the class that meets most others."""
-    met = stored(members.groupBy("rep").agg(F.sum("m").alias("met")), "minhash-met")
+    met = members.groupBy("rep").agg(F.sum("m").alias("met"))
     leaders = stored(members.join(met, "rep").groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("r"))).alias("best")).select("key", (-F.col("best.r")).alias("leader")), "minhash-leaders")
     return members.join(leaders, "key").where("rep != leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
 
@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     buckets = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "minhash-buckets")
     members = stored(banded.join(buckets, "key"), "minhash-members")
     pairs = stored(_likely(_leader_pairs(members), reps, scheme), "minhash-pairs")
-    near = stored(members.where("m > 2").select("rep").unionByName(pairs.select(F.col("u").alias("rep"))).unionByName(pairs.select(F.col("v").alias("rep"))).distinct(), "minhash-near")
+    near = members.where("m > 2").select("rep").unionByName(pairs.select(F.col("u").alias("rep"))).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()
     texts = stored(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(near, "rep", "left_semi"), "minhash-texts")
     links = stored(_confirm(pairs, texts, scheme), "minhash-links")
     parts = connected_components(links)
