@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WORD_BASE, WORD_BASE_2, Words, mix, runs_hash, slices, stored, text_buffers
+from .shared import WORD_BASE, WORD_BASE_2, Words, list_rows, mix, runs_hash, slices, stored, text_buffers
 
 BUCKETS = 1 << 17
 #: Training texts that the support vector model is fitted to; a fifth of them sets the scale of its scores.
@@ -168,16 +168,18 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(low), pa.array(high), pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.list_(pa.int32()))], schema=schema)
 
     schema = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32()))])
-    joined = docs.where(keep).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known, "__id").select("text", "label", "sampled")
+    # both sides are always shuffled by id: a broadcast of the labels would have no size bound
+    joined = docs.where(keep).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known.hint("merge"), "__id").select("text", "label", "sampled")
     made = stored(joined.mapInArrow(run, "bucket long, low long, high long, label int, at array<int>"), "quality-training")
     counts = np.zeros((2, BUCKETS))
-    for r in made.where("bucket >= 0").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).collect():
-        counts[0, r.bucket], counts[1, r.bucket] = r.low, r.high
+    found = made.where("bucket >= 0").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
+    at = found.column(0).to_numpy()
+    counts[0, at], counts[1, at] = found.column(1).to_numpy(), found.column(2).to_numpy()
     p, q = counts[1] + 1, counts[0] + 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     sample = made.where("label IS NOT NULL").select("label", "at").toArrow()
     y = np.where(sample.column(0).to_numpy() > 0, 1.0, -1.0)
-    examples = [(at, _scaled(at, ratio)) for at in (np.array(x) for x in sample.column(1).to_pylist())]
+    examples = [(at, _scaled(at, ratio)) for at in list_rows(sample.column(1))]
     order = np.random.default_rng(5).permutation(len(y))
     held, used = order[: len(y) // 5], order[len(y) // 5 :]
     share = {s: max(1, int((y[used] == s).sum())) for s in (-1.0, 1.0)}

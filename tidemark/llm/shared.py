@@ -64,6 +64,14 @@ def crc_bucket(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def list_rows(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    """The rows of a list column without nulls, as views of its values."""
+    if isinstance(column, pa.ChunkedArray):
+        return [row for chunk in column.chunks for row in list_rows(chunk)]
+    values, bounds = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
 # --- words -----------------------------------------------------------------------------------
 
 _SPACE = np.zeros(256, bool)
