@@ -13,10 +13,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
+from .shared import list_rows
 
 #: Buckets that n-grams of 1 to GRAMS characters are hashed to.
 BUCKETS, GRAMS = 1 << 15, 3
@@ -95,23 +95,25 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[int, np.ndarra
     return total, out
 
 
-def training_vectors(docs: DataFrame, text_col: str, label_col: str) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(label, buckets, counts) of a bounded sample that has been chosen already."""
+def training_vectors(docs: DataFrame, text_col: str, label_col: str, order: Column) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(label, buckets, counts) of a bounded sample that has been chosen already, sorted by ``order``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, label, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if has_letter(text):
                     total = _counts(text)
                     some = np.flatnonzero(total)
-                    rows.append((label, some.tolist(), total[some].tolist()))
+                    rows.append((label, some, total[some], h))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64())), strict=True)], ["label", "buckets", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()), strict=True)], ["label", "buckets", "counts", "h"])
 
-    source = docs.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    rows = source.mapInArrow(run, "label string, buckets array<int>, counts array<long>").toArrow()
-    return [(a, np.array(b), np.array(c, np.float64)) for a, b, c in zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True)]
+    source = docs.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), order.alias("h"))
+    rows = source.mapInArrow(run, "label string, buckets array<int>, counts array<long>, h long").toArrow()
+    found = list(zip(rows.column(3).to_pylist(), rows.column(0).to_pylist(), list_rows(rows.column(1)), list_rows(rows.column(2)), strict=True))
+    found.sort(key=lambda r: (r[0], r[1], len(r[2])))  # the same model from any order of rows
+    return [(a, b, c.astype(np.float64)) for _, a, b, c in found]
 
 
 @dataclass
@@ -190,7 +192,7 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
     order = F.xxhash64(F.col(id_col).cast("string"))
     # the sample's rows are those up to the hash of its last id: only hashes are sorted
     last = docs.select(order.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
-    rows = training_vectors(docs.where(order <= last), text_col, label_col)
+    rows = training_vectors(docs.where(order <= last), text_col, label_col, order)
     labels = tuple(sorted({r[0] for r in rows}))
     code = {x: i for i, x in enumerate(labels)}
     idf = np.log((1.0 + total) / (1.0 + frequency)) + 1.0

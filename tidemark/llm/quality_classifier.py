@@ -150,36 +150,37 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
     last = known.select(h.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
     if last is None:
         return QualityModel(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 1.0, 0.0)
-    known = known.withColumn("sampled", h <= last)
+    known = known.withColumn("h", h).withColumn("sampled", F.col("h") <= last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
         for batch in batches:
             rows = []
-            for at, label, sampled in zip(indicators(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for at, label, sampled, h in zip(indicators(batch.column(0)), *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                 counts[label, at] += 1
                 n[label] += 1
                 if sampled:
-                    rows.append((None, None, None, label, at))
+                    rows.append((None, None, None, label, at, h))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
         some = np.append(np.flatnonzero(counts.sum(0)), -1)
         low, high = np.append(counts[0], n[0])[some], np.append(counts[1], n[1])[some]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(low), pa.array(high), pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.list_(pa.int32()))], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(low), pa.array(high), *(pa.nulls(len(some), f.type) for f in list(schema)[3:])], schema=schema)
 
-    schema = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32()))])
+    schema = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32())), ("h", pa.int64())])
     # both sides are always shuffled by id: a broadcast of the labels would have no size bound
-    joined = docs.where(keep).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known.hint("merge"), "__id").select("text", "label", "sampled")
-    made = stored(joined.mapInArrow(run, "bucket long, low long, high long, label int, at array<int>"), "quality-training")
+    joined = docs.where(keep).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known.hint("merge"), "__id").select("text", "label", "sampled", "h")
+    made = stored(joined.mapInArrow(run, "bucket long, low long, high long, label int, at array<int>, h long"), "quality-training")
     counts = np.zeros((2, BUCKETS))
     found = made.where("bucket >= 0").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
     at = found.column(0).to_numpy()
     counts[0, at], counts[1, at] = found.column(1).to_numpy(), found.column(2).to_numpy()
     p, q = counts[1] + 1, counts[0] + 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    sample = made.where("label IS NOT NULL").select("label", "at").toArrow()
-    y = np.where(sample.column(0).to_numpy() > 0, 1.0, -1.0)
-    examples = [(at, _scaled(at, ratio)) for at in list_rows(sample.column(1))]
+    sample = made.where("label IS NOT NULL").select("label", "at", "h").toArrow()
+    rank = np.lexsort((sample.column(0).to_numpy(), sample.column(2).to_numpy()))  # the same model from any order of rows
+    y = np.where(sample.column(0).to_numpy() > 0, 1.0, -1.0)[rank]
+    examples = [(at, _scaled(at, ratio)) for bags in (list_rows(sample.column(1)),) for at in map(bags.__getitem__, rank)]
     order = np.random.default_rng(5).permutation(len(y))
     held, used = order[: len(y) // 5], order[len(y) // 5 :]
     share = {s: max(1, int((y[used] == s).sum())) for s in (-1.0, 1.0)}
