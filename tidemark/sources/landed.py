@@ -32,11 +32,14 @@ def csv_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFr
 
 def without_header(lines: DataFrame, first_field: str, files: tuple[str, ...] = ("file",)) -> DataFrame:
     """Lines less the blank ones, and less a file's first line if its first field is the given name in any
-    case. One row a file is joined back."""
-    first = lines.groupBy(*files).agg(F.min("place").alias("__first"))
+    case. One row a file is joined back; finding it reads the same columns as the lines themselves, so that
+    both scans are cut, and their rows numbered, alike."""
+    first = lines.where("place.block = 0").groupBy(*files).agg(F.min("place.row").alias("__first"), F.max(F.octet_length("line")).alias("__longest"))
     header = F.lower(F.trim(F.element_at(F.split("line", ","), 1))) == first_field.lower()
-    rows = lines.join(first, list(files)).where(~((F.col("place") == F.col("__first")) & header)).drop("__first")
-    return rows.where(F.trim("line") != "")
+    is_first = (F.col("place.block") == 0) & (F.col("place.row") == F.col("__first")) & (F.col("__longest") >= 0)
+    # a header's line becomes null by a joined column: no later filter on the line can then run before this
+    line = F.when(F.coalesce(is_first, F.lit(False)) & header, F.lit(None)).otherwise(F.col("line"))
+    return lines.join(first, list(files), "left").withColumn("line", line).drop("__first", "__longest").where(F.trim("line") != "")
 
 
 def _at(k: int) -> Column:
@@ -77,7 +80,7 @@ def parse_depth(lines: DataFrame) -> DataFrame:
 def accepted(parsed: DataFrame) -> DataFrame:
     """The parsed rows; a refused line fails the job, naming the line."""
     wrong = F.raise_error(F.concat(F.lit("bad record ("), F.col("reject"), F.lit("): "), F.coalesce("line", F.lit("null")))).cast("boolean")
-    return parsed.where(F.when(F.col("reject").isNull(), True).otherwise(wrong)).drop("reject", "line")
+    return parsed.where(F.when(F.col("reject").isNull(), True).when(F.trim("line") != "", wrong).otherwise(False)).drop("reject", "line")
 
 
 def quarantined(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
