@@ -24,7 +24,7 @@ from .shared import slices, stored, text_buffers
 #: Pieces of one packing shard, which one task packs; more input means more shards.
 SHARD_PIECES = 65_536
 #: A worker remembers the ids of so many distinct words, then begins anew (speed only).
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 
 class WordIds:

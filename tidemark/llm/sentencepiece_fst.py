@@ -208,6 +208,7 @@ class Transducer:
                 text = text.replace("  ", " ")
         if not text:
             return []
+        text = text.replace(SPACE, " ")  # a visible space in the input is the same symbol
         if self.dummy_prefix:
             text = " " + text
         head, *rest = text.split(" ")

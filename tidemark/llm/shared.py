@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are hashed in slices of about so many bytes, which bounds the temporary arrays of a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _roots: dict[str, str] = {}
 
 
