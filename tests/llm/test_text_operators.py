@@ -153,7 +153,7 @@ def test_quality_rules_use_no_python_and_order_does_not_matter(spark, docs):
 
 
 def test_junk_goes_and_clean_text_stays(spark):
-    clean = " ".join(f"Word{i} and so on" for i in range(40))
+    clean = " ".join(f"Word{i} thing{i} of" for i in range(40))
     junk = ["same " * 80, " ".join(f"w{i}***" for i in range(80)), clean.upper() + "!!", "\n".join(["A line of words that comes again"] * 3 + ["other"]) * 5, "short"]
     df = spark.createDataFrame([(0, clean), *enumerate(junk, 1)], "doc_id long, text string")
     assert [r.doc_id for r in quality_rules.apply_rules(df).where(F.col("kept")).collect()] == [0]

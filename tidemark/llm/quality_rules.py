@@ -46,12 +46,18 @@ def _covered(at: Column) -> Column:
     return F.aggregate(F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda a, n: a + n)
 
 
+def _once(value: Column) -> Column:
+    """``value``, so that the optimizer can neither copy its expression into the places that use it nor push
+    a filter on such a place below it: inside a lambda it would be made anew for every element."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 #: How each measure is made, in steps: a step's columns may use those of the steps before it.
 _STEPS: list[dict] = [
     {"text": lambda: F.coalesce(F.col("text"), F.lit(""))},
-    {"words": lambda: _words(F.col("text"))},
-    {"n_words": lambda: F.size("words").cast("long"), "windows": lambda: _sorted_windows(F.col("words"))},
-    {"at": lambda: _repeated_at(F.col("windows"))},
+    {"words": lambda: _once(_words(F.col("text")))},
+    {"n_words": lambda: F.size("words").cast("long"), "windows": lambda: _once(_sorted_windows(F.col("words")))},
+    {"at": lambda: _once(_repeated_at(F.col("windows")))},
     {
         "n_repeat_words": lambda: _covered(F.col("at")),
         "word_chars": lambda: F.char_length(F.array_join("words", "")).cast("long"),
