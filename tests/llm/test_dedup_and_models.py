@@ -165,6 +165,16 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_vectors_of_many_lengths_and_double_precision(spark):
+    rows = [(100 * k + i, [1.0 + (j % 7) * i / 1000 for j in range(k)], "x") for k in range(1, 80) for i in range(2)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 1, i // 100 * 100) for i, *_ in rows}
+    # told apart in double precision alone: in single precision both are one vector
+    near = [(1, [1.0, 0.0], "x"), (2, [1.0, 1e-9], "x"), (3, [1.0 + 1e-9, 1e-9], "x")]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(near, "vec_id long, embedding array<double>, label string")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(1, 2, 1), (2, 2, 1), (3, 2, 1)}
+
+
 # --- archives ---
 
 

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected_components
 from .shared import sorted_groups, stored
@@ -34,23 +35,21 @@ def _usable(vector: str) -> F.Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Unit vectors in double precision; all lists of a batch must have one length."""
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Unit vectors in double precision; shorter lists end in zeros, which change no cosine."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = flat.reshape(len(column), -1)
+    lengths = np.diff(column.offsets.to_numpy())
+    x = np.zeros((len(column), width))
+    x[np.arange(width) < lengths[:, None]] = flat
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def choose_pivots(classes: DataFrame, n: int, per_root: float = 4.0) -> np.ndarray:
+def choose_pivots(classes: DataFrame, n: int, width: int, per_root: float = 4.0) -> np.ndarray:
     """Up to ``per_root * sqrt(n)`` pivots, at most ``MOST_PIVOTS``: a bounded sample of the vectors in the
     order of a hash of their ids, of which those too close to an earlier one are left out."""
     wanted = int(min(MOST_PIVOTS, max(16, math.ceil(per_root * math.sqrt(n)))))
     rows = classes.select("rep", "vector").orderBy(F.xxhash64("rep"), "rep").limit(2 * wanted).collect()
-    if not rows:
-        return np.zeros((0, 0))
-    width = len(rows[0].vector)
-    x = np.array([r.vector for r in rows if len(r.vector) == width], np.float64)
-    x /= np.sqrt((x * x).sum(1))[:, None]
+    x = _matrix(pa.array([r.vector for r in rows], pa.list_(pa.float64())), width)
     free = np.ones(len(x), bool)
     chosen = []
     for i in range(len(x)):
@@ -72,13 +71,14 @@ def _described(classes: DataFrame, pivots: np.ndarray, nearest: int) -> DataFram
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                sims = _matrix(batch.column(2)).astype(np.float32) @ p.T
+                sims = _matrix(batch.column(2), p.shape[1]).astype(np.float32) @ p.T
                 top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
                 top = np.take_along_axis(top, np.argsort(-np.take_along_axis(sims, top, 1), axis=1, kind="stable"), 1).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, top.size + 1, k, dtype=np.int32)), pa.array(top.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["rep", "group", "vector", "weight", "near"])
 
-    return classes.select("rep", "group", "vector", "weight").mapInArrow(run, "rep long, group long, vector array<float>, weight long, near array<int>")
+    rows = classes.select("rep", "group", "vector", "weight")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("near", T.ArrayType(T.IntegerType()))]))
 
 
 def _verified(described: DataFrame, threshold: float, shared_pivots: int) -> DataFrame:
@@ -114,7 +114,8 @@ def _group_links(group: pa.Table, threshold: float, shared_pivots: int) -> tuple
         linked &= own[:, None] != own[None, :]
     np.fill_diagonal(linked, False)
     if linked.any():
-        x = _matrix(group.column("vector").combine_chunks())
+        x = group.column("vector").combine_chunks()
+        x = _matrix(x, len(x[0]))
         linked &= x @ x.T >= threshold
     some = np.flatnonzero(linked.any(1))
     linked, rep = linked[np.ix_(some, some)], rep[some]
@@ -139,19 +140,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, nearest: int =
     The index is approximate: a linked pair is found if the two share at least ``shared_pivots`` of their
     ``nearest`` pivots. All rows are indexed; only the choice of pivots rests on a sample.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"), F.col(label_col).cast("string").alias("label"))
+    single = vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType(), vectors.schema[vector_col].dataType.containsNull)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector"), F.col(label_col).cast("string").alias("label"))
     usable = rows.where("id IS NOT NULL AND label IS NOT NULL").where(_usable("vector"))
     classes = usable.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     classes = stored(classes.withColumn("group", F.xxhash64("label", F.size("vector"))), "vector-classes")
-    sizes = [r.width for r in classes.select(F.size("vector").alias("width")).distinct().limit(64).collect()]
-    found = None
-    for width in sizes:
-        own = classes.where(F.size("vector") == width)
-        pivots = choose_pivots(own, own.count())
-        part = _verified(_described(own, pivots, nearest), threshold, min(shared_pivots, len(pivots)))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+    n, width = classes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if not n:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    pivots = choose_pivots(classes, n, width)
+    found = _verified(_described(classes, pivots, nearest), threshold, min(shared_pivots, len(pivots)))
     found = stored(found, "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")).where("u != v"))
