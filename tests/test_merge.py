@@ -1,7 +1,7 @@
 import pytest
-from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from market_helpers import rows
 
 from tidemark.operators import merge, watermark
 

@@ -2,7 +2,7 @@ import hashlib
 import zipfile
 
 import pytest
-from conftest import rows
+from market_helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
