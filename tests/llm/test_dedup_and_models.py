@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from llm_helpers import components, edited, words
@@ -68,6 +69,30 @@ def test_minhash_repeated_ids_with_other_texts(spark):
     assert {r.component_id for r in minhash.near_duplicates(df, 3, 85).collect()} == {1}
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_long_words_that_polynomial_hashes_confuse_stay_apart(spark):
+    one = thue_morse(1024)
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([one, *words(1, 19)])), (2, " ".join([two, *words(1, 19)])), (3, one), (4, two), (5, " ".join([one, *words(1, 19)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 20}
+    # of 18 three-word shingles two texts share 17
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 3, 95).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_exact_sets_are_those_of_words():
+    texts = [" ".join(words(i, n, 6)) for i, n in enumerate((0, 1, 2, 2, 3, 9, 40, 40, 4))] + ["A b", "a  B", None]
+    for k in (1, 2, 3, 5):
+        sets, want = minhash._exact_sets(pa.array(texts), k), [_shingles(t, k) for t in texts]
+        for s, x in zip(sets, want, strict=True):
+            assert len(s) == len(x)
+            for t, y in zip(sets, want, strict=True):
+                assert len(np.intersect1d(s, t)) == len(x & y)
+
+
 def test_band_scheme_misses_little():
     for percent in (80, 85, 95):
         s = minhash.Scheme(3, percent)

@@ -1,7 +1,7 @@
 """MinHash near-duplicates: many universal hash minima with banding, signature verification, a check on
 full shingle sets, and connected components by alternating large-star and small-star.
 
-How hot groups are met: texts with equal shingle sets are one class from the start; within a bucket of
+How hot groups are met: texts of equal words are one class from the start; within a bucket of
 equal band minima every class is first compared with one leader only (the class that meets most others),
 and only pairs whose classes are then still in different components are compared further, in blocks of
 bounded size. No link that would join two components is left out, and no group is expanded into pairs.
@@ -12,15 +12,17 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import WORD_BASE, mix, runs_hash, sorted_groups, stored, words_of
+from .shared import LOWER, SPACE, Words, mix, runs_hash, slices, sorted_groups, stored, text_buffers, word_bounds
 
 #: Rows of one side of a comparison block.
 BLOCK = 512
@@ -50,17 +52,37 @@ class Scheme:
         return math.floor(n * t - 5.3 * math.sqrt(n * t * (1 - t)))
 
 
-def _shingles(column: pa.Array, k: int) -> Iterator[np.ndarray]:
-    """The distinct shingle hashes of each text, sorted."""
-    for _, _, w in words_of(column, lower=True):
-        every = runs_hash(w.hashes, WORD_BASE, k)
+def _shingles(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, bytes | None]]:
+    """The distinct shingle hashes of each text, sorted, and the BLAKE2 digest of all its words."""
+    data, offsets = text_buffers(column)
+    for at, to in slices(offsets):
+        w = Words(data, offsets[at : to + 1], lower=True)
+        every, (words, place) = runs_hash(w.hashes, k), w.joined()
         for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
-            if b - a >= k:
-                yield np.unique(every[a : b - k + 1])
-            elif b > a:  # fewer words: their whole sequence
-                yield runs_hash(w.hashes[a:b], WORD_BASE, b - a) ^ np.uint64(b - a)
-            else:
-                yield np.zeros(0, np.uint64)
+            if b == a:
+                yield np.zeros(0, np.uint64), None
+            else:  # fewer words than k: their whole sequence
+                yield np.unique(every[a : b - k + 1]) if b - a >= k else runs_hash(w.hashes[a:b], b - a), blake2b(memoryview(words)[place[a] : place[b]], digest_size=16).digest()
+
+
+def _exact_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+    """The distinct shingles of each text as sorted numbers that stand for their very words: equal shingles
+    of any two of these texts have equal numbers, and no others have."""
+    data, offsets = text_buffers(texts)
+    low, offsets = LOWER[data[offsets[0] : offsets[-1]]], offsets - offsets[0]
+    begin, end = word_bounds(low, offsets)
+    bounds = np.append(0, np.cumsum(end - begin))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(low[~SPACE[low]])]).dictionary_encode()
+    code = word = words.indices.to_numpy().astype(np.int64)
+    for j in range(1, k):
+        code = pd.factorize(code[:-1] * len(words.dictionary) + word[j:])[0].astype(np.int64)
+    first, short, out = np.searchsorted(begin, offsets), {}, []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= k or b == a:
+            out.append(np.unique(code[a : max(a, b - k + 1)]))
+        else:
+            out.append(np.array([-1 - short.setdefault(tuple(word[a:b].tolist()), len(short))]))
+    return out
 
 
 def _signatures(sets: list[np.ndarray], scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
@@ -88,38 +110,34 @@ def _lists(matrix: np.ndarray) -> pa.Array:
 
 
 def features(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, d1, d2, bands, sig) per row; d1 and d2 are sums of independent hashes over the set,
-    and bands and sig are null where the set is empty."""
+    """(id, n_shingles, digest, bands, sig) per row; digest is that of the text's words, and the last three
+    are null where there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for size, sets in _chunks(_shingles(batch.column(1), scheme.shingle)):
-                full = [s for s in sets if len(s)]
-                n = np.array([len(s) for s in sets], np.int64)
-                d = np.zeros((2, size), np.uint64)
+            for size, found in _chunks(_shingles(batch.column(1), scheme.shingle)):
+                full = [s for s, _ in found if len(s)]
+                n = np.array([len(s) for s, _ in found], np.int64)
                 bands = sig = pa.nulls(size)
                 if full:
                     has = n > 0
-                    flat, starts = np.concatenate(full), np.cumsum([0, *map(len, full[:-1])])
-                    d[0, has] = np.add.reduceat(mix(flat * _STEP), starts)
-                    d[1, has] = np.add.reduceat(mix(flat + _STEP_2), starts)
                     b, s = _signatures(full, scheme)
                     where = pa.array(np.where(has, np.cumsum(has) - 1, 0), mask=~has)
                     bands, sig = _lists(b).take(where), pa.FixedSizeBinaryArray.from_buffers(pa.binary(s.shape[1]), len(s), [None, pa.py_buffer(s)]).cast(pa.binary()).take(where)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, size), pa.array(n), pa.array(d[0].view(np.int64)), pa.array(d[1].view(np.int64)), bands.cast(pa.list_(pa.int64())), sig.cast(pa.binary())], ["id", "n_shingles", "d1", "d2", "bands", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, size), pa.array(n), pa.array([d for _, d in found], pa.binary()), bands.cast(pa.list_(pa.int64())), sig.cast(pa.binary())], ["id", "n_shingles", "digest", "bands", "sig"])
                 at += size
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "id long, n_shingles long, d1 long, d2 long, bands array<long>, sig binary")
+    return source.mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>, sig binary")
 
 
-def _chunks(sets: Iterator[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Runs of sets of about a million shingles."""
+def _chunks(found: Iterator[tuple[np.ndarray, bytes | None]]) -> Iterator[tuple[int, list]]:
+    """Runs of texts of about 400,000 shingles."""
     held, size = [], 0
-    for s in sets:
-        held.append(s)
-        size += len(s) + 1
+    for x in found:
+        held.append(x)
+        size += len(x[0]) + 1
         if size > 400_000:
             yield len(held), held
             held, size = [], 0
@@ -158,19 +176,19 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs that are linked by their full sets."""
+    """The pairs that are linked by their full sets, compared word by word."""
     both = pairs.join(texts.select(F.col("rep").alias("u"), F.col("text").alias("tu")), "u").join(texts.select(F.col("rep").alias("v"), F.col("text").alias("tv")), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                u, v = part.column(0), part.column(1)
-                known, index = pa.compute.dictionary_encode(v).dictionary, pa.compute.dictionary_encode(v).indices.to_numpy()
-                first = np.unique(index, return_index=True)[1]
-                right = dict(zip(known.to_pylist(), _shingles(part.column(3).take(pa.array(first)), scheme.shingle), strict=True))
-                keep = [_linked(s, right[k], scheme.percent) for s, k in zip(_shingles(part.column(2), scheme.shingle), v.to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([u, v], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            right = pa.compute.dictionary_encode(batch.column(3))
+            size = pa.compute.binary_length(batch.column(2)).to_numpy().astype(np.int64)
+            for a, b in slices(np.append(0, np.cumsum(size))):
+                part, at = batch.slice(a, b - a), right.indices.to_numpy()[a:b]
+                used, at = np.unique(at, return_inverse=True)
+                sets = _exact_sets(pa.concat_arrays([part.column(2), right.dictionary.take(pa.array(used))]), scheme.shingle)
+                keep = [_linked(s, sets[b - a + k], scheme.percent) for s, k in zip(sets[: b - a], at.tolist(), strict=True)]
+                yield part.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("u", "v", "tu", "tv").mapInArrow(run, "u long, v long")
 
@@ -180,7 +198,8 @@ def _cross_links(members: DataFrame, parts: DataFrame, reps: DataFrame, texts: D
 
     A bucket's rows are dealt to blocks, and each pair of blocks is one group of at most 2 * BLOCK rows.
     A pair is looked at in the first bucket that it shares, and not at all once a chain of links found in
-    the group joins its ends.
+    the group joins its ends. Signatures are compared first; texts are sent only for the rows of a group
+    that are likely to have a link there.
     """
     rows = members.where("m > 2").join(parts, members["rep"] == parts["id"], "left").select("key", "rep", "m", F.coalesce("component_id", "rep").alias("part"))
     rows = stored(rows, "minhash-parts")
@@ -189,9 +208,15 @@ def _cross_links(members: DataFrame, parts: DataFrame, reps: DataFrame, texts: D
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", "rep", "part", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    rows = rows.join(reps.select("rep", "bands", "sig"), "rep").join(texts, "rep")
+    rows = rows.join(reps.select("rep", "bands", "sig"), "rep")
     keys = ["key", "low", "high"]
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "part", "rep")
+    kept = ["key", "low", "high", "own", "rep", "part", "bands", "sig"]
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, keys):
+            some = sorted({k for _, i, j in _likely_pairs(group, scheme) for k in (i, j)})
+            if some:
+                yield from group.take(some).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, keys):
@@ -199,31 +224,26 @@ def _cross_links(members: DataFrame, parts: DataFrame, reps: DataFrame, texts: D
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["u", "v"])
 
-    return dealt.select(*keys, "own", "rep", "part", "bands", "sig", "text").mapInArrow(run, "u long, v long").distinct()
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(*keys).sortWithinPartitions(*keys, "part", "rep")
 
+    rows = rows.select(*kept)
+    some = stored(dealt(rows).mapInArrow(sift, rows.schema), "minhash-likely")
+    return dealt(some.join(texts, "rep")).select(*kept, "text").mapInArrow(run, "u long, v long").distinct()
 
-def _group_links(group: pa.Table, scheme: Scheme) -> list[tuple[int, int]]:
+
+def _likely_pairs(group: pa.Table, scheme: Scheme) -> list[tuple[int, int, int]]:
+    """(minus the number of equal minima, row, row) for rows of different components whose signatures agree
+    often enough, in the first bucket that the two share."""
     key, low, high = (group.column(k)[0].as_py() for k in ("key", "low", "high"))
-    rep, part, own = (group.column(k).to_numpy() for k in ("rep", "part", "own"))
-    if len(rep) < 2 or (part == part[0]).all():
+    part, own = (group.column(k).to_numpy() for k in ("part", "own"))
+    if len(part) < 2 or (part == part[0]).all():
         return []
-    bands = np.array(group.column("bands").combine_chunks().flatten()).reshape(len(rep), -1)
-    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)
-    texts, sets, root = group.column("text").combine_chunks(), {}, {p: p for p in part.tolist()}
-
-    def set_of(i: int) -> np.ndarray:
-        if i not in sets:
-            sets[i] = next(_shingles(texts.slice(i, 1), scheme.shingle))
-        return sets[i]
-
-    def find(p: int) -> int:
-        while root[p] != p:
-            root[p] = p = root[root[p]]
-        return p
-
+    bands = np.array(group.column("bands").combine_chunks().flatten()).reshape(len(part), -1)
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(part), -1)
     likely = []
-    for i in range(len(rep)):
-        other = np.arange(i + 1, len(rep))
+    for i in range(len(part)):
+        other = np.arange(i + 1, len(part))
         other = other[part[i + 1 :] != part[i]]
         if low != high:
             other = other[own[other] != own[i]]
@@ -234,10 +254,28 @@ def _group_links(group: pa.Table, scheme: Scheme) -> list[tuple[int, int]]:
             equal = bands[other] == bands[i]
             mine = bands[i][equal.argmax(1)] == key
             likely += [(-n, i, j) for n, j in zip(agree[mine].tolist(), other[mine].tolist(), strict=True)]
+    return sorted(likely)  # the likeliest first: they join most
+
+
+def _group_links(group: pa.Table, scheme: Scheme) -> list[tuple[int, int]]:
+    rep, part = (group.column(k).to_numpy() for k in ("rep", "part"))
+    texts, sets, root = group.column("text").combine_chunks(), {}, {p: p for p in part.tolist()}
+
+    def set_of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = next(_shingles(texts.slice(i, 1), scheme.shingle))[0]
+        return sets[i]
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            root[p] = p = root[root[p]]
+        return p
+
     out = []
-    for _, i, j in sorted(likely):  # the likeliest first: they join most
+    for _, i, j in _likely_pairs(group, scheme):
         a, b = find(int(part[i])), find(int(part[j]))
-        if a != b and _linked(set_of(i), set_of(j), scheme.percent):
+        # hashes first; what they link is compared word by word
+        if a != b and _linked(set_of(i), set_of(j), scheme.percent) and _linked(*_exact_sets(texts.take(pa.array([i, j])), scheme.shingle), scheme.percent):
             root[a] = b
             out.append((int(rep[i]), int(rep[j])))
     return out
@@ -256,19 +294,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     scheme = Scheme(shingle, percent)
     rows = stored(features(docs, scheme, id_col, text_col), "minhash-features")
     full = rows.where("id IS NOT NULL AND n_shingles > 0")
-    reps = stored(full.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes")
+    reps = stored(full.groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes")
     banded = reps.select("rep", F.explode("bands").alias("key"))
     buckets = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "minhash-buckets")
     members = stored(banded.join(buckets, "key"), "minhash-members")
     pairs = stored(_likely(_leader_pairs(members), reps, scheme), "minhash-pairs")
     near = members.where("m > 2").select("rep").unionByName(pairs.select(F.col("u").alias("rep"))).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()
-    texts = stored(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(near, "rep", "left_semi"), "minhash-texts")
+    texts = stored(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(near, "rep", "left_semi").dropDuplicates(["rep", "text"]), "minhash-texts")
     links = stored(_confirm(pairs, texts, scheme), "minhash-links")
     parts = connected_components(links)
     more = _cross_links(members, stored(parts, "minhash-components"), reps, texts, scheme)
     links = links.unionByName(more)
     # an id that stands for several classes, or repeats with several texts, ties them together
-    repeated = full.join(reps, ["d1", "d2", "n_shingles"]).select(full["id"].alias("u"), reps["rep"].alias("v")).where("u != v").distinct()
+    repeated = full.join(reps, "digest").select(full["id"].alias("u"), reps["rep"].alias("v")).where("u != v").distinct()
     parts = connected_components(links.unionByName(repeated))
     out = rows.join(parts, "id", "left")
     component = F.coalesce("component_id", "id")

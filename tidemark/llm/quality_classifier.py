@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WORD_BASE, WORD_BASE_2, Words, list_rows, mix, runs_hash, slices, stored, text_buffers
+from .shared import Words, list_rows, mix, runs_hash, slices, stored, text_buffers
 
 BUCKETS = 1 << 17
 #: Training texts that the support vector model is fitted to; a fifth of them sets the scale of its scores.
@@ -63,10 +63,10 @@ def indicators(column: pa.Array) -> Iterator[np.ndarray]:
         raw = data[offsets[a] : offsets[b]]
         shape, capital, symbol = _shapes(raw, w)
         one = (mix(w.hashes) & top).astype(np.int32)
-        two = (runs_hash(w.hashes, WORD_BASE, 2) & top).astype(np.int32)
+        two = (runs_hash(w.hashes, 2) & top).astype(np.int32)
         form = (shape & top).astype(np.int32)
-        forms = (runs_hash(shape, WORD_BASE_2, 2) & top).astype(np.int32)
-        three = runs_hash(w.hashes, WORD_BASE_2, 3)
+        forms = (runs_hash(shape, 2) & top).astype(np.int32)
+        three = runs_hash(w.hashes, 3)
         for lo, hi in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
             n = hi - lo
             marks = _tenths(1, min(n, 1023).bit_length() / 10)

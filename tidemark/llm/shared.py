@@ -74,44 +74,54 @@ def list_rows(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
 
 # --- words -----------------------------------------------------------------------------------
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-#: Odd multipliers of the rolling hashes (arbitrary fixed numbers).
-BYTE_BASE, WORD_BASE, WORD_BASE_2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
-_powers: dict[tuple[int, bool], np.ndarray] = {}
-
-
-def power(base: int, n: int, inverse: bool = False) -> np.ndarray:
-    """base ** i modulo 2**64 for i < n (of the inverse, if asked for)."""
-    have = _powers.get((base, inverse))
-    if have is None or len(have) < n:
-        step = pow(base, -1, 1 << 64) if inverse else base
-        have = np.full(max(n, 1 << 16), step, np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        _powers[base, inverse] = have
-    return have[:n]
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Multipliers and seeds of the hashes (arbitrary fixed numbers).
+_LEFT, _RIGHT, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 output bits (a bijection)."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def runs_hash(values: np.ndarray, base: int, k: int) -> np.ndarray:
-    """Hash of each k consecutive values: result[i] covers values[i : i + k]."""
-    n = len(values)
-    if n < k:
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(mix(left * _LEFT + right) * _RIGHT ^ right)
+
+
+def runs_hash(values: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each k consecutive values: result[i] covers values[i : i + k]. Runs are joined from runs of
+    half their length by a step that is linear in neither, so no pattern of values cancels out."""
+    n = len(values) - k + 1
+    if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * power(base, n), out=total[1:])
-    return mix((total[k:] - total[:-k]) * power(base, n + 1, True)[: n - k + 1])
+    out, done, power, width = None, 0, values, 1
+    while True:
+        if k & width:
+            out = power[:n] if out is None else _joined(out[:n], power[done : done + n])
+            done += width
+        if 2 * width > k:
+            return mix(out + np.uint64(k))
+        power, width = _joined(power[:-width], power[width:]), 2 * width
+
+
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte positions where the words of some texts begin and end; the texts' offsets start at 0."""
+    n = len(data)
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    word = np.zeros(n + 2, bool)
+    word[1:-1] = ~SPACE[data]
+    return np.flatnonzero(word[1:] & (edge | ~word[:-1])), np.flatnonzero(word[:-1] & (edge | ~word[1:]))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -128,33 +138,38 @@ class Words:
     """The words (runs of bytes other than ASCII white space) of some documents, hashed to 64 bits.
 
     ``hashes`` holds all words in order, ``first[d] : first[d + 1]`` are those of document d, and
-    ``begin``/``end`` are their byte positions in ``data``.
+    ``begin``/``end`` are their byte positions in ``data``. A word's hash is the sum of its 8-byte parts,
+    each mixed with its place.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        lo, hi = int(offsets[0]), int(offsets[-1])
-        data = data[lo:hi]
-        self.data = _LOWER[data] if lower else data
-        offsets = offsets - lo
-        n = hi - lo
-        word = ~_SPACE[data]
-        starts = np.zeros(n + 1, bool)
-        starts[offsets] = True
-        before = np.zeros(n + 1, bool)
-        before[1:] = word
-        now = np.zeros(n + 1, bool)
-        now[:n] = word
-        self.begin = np.flatnonzero(now & (starts | ~before))
-        self.end = np.flatnonzero(before & (starts | ~now))
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power(BYTE_BASE, n), out=total[1:])
-        inverse = power(BYTE_BASE, n + 1, True)
-        self.hashes = mix((total[self.end] - total[self.begin]) * inverse[self.begin] + (self.end - self.begin).astype(np.uint64))
+        data = data[int(offsets[0]) : int(offsets[-1])]
+        offsets = offsets - offsets[0]
+        self.data = LOWER[data] if lower else data
+        self.begin, self.end = word_bounds(data, offsets)
         self.first = np.searchsorted(self.begin, offsets)
+        parts = (self.end - self.begin + 7) >> 3
+        at = np.cumsum(parts) - parts
+        place = np.arange(int(parts.sum())) - np.repeat(at, parts)
+        begin = np.repeat(self.begin, parts) + 8 * place
+        padded = np.append(self.data, np.zeros(8, np.uint8))
+        eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))[begin] & _FIRST_BYTES[np.minimum(np.repeat(self.end, parts) - begin, 8)]
+        eight = mix(mix(eight + _PLACE) + place.astype(np.uint64) * _RIGHT)
+        self.hashes = mix(np.add.reduceat(eight, at) + (self.end - self.begin).astype(np.uint64)) if len(at) else np.zeros(0, np.uint64)
 
     def __len__(self) -> int:
         return len(self.first) - 1
 
+    def joined(self) -> tuple[bytes, np.ndarray]:
+        """All words with one space after each, and the position of each word there (and the end)."""
+        size = self.end - self.begin + 1
+        at = np.append(0, np.cumsum(size))
+        out = np.full(int(at[-1]), 32, np.uint8)
+        inside = np.ones(len(out), bool)
+        inside[at[1:] - 1] = False
+        out[inside] = self.data[~SPACE[self.data]]
+        return out.tobytes(), at
+
 
 def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer text has a range of its own."""
@@ -165,13 +180,6 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = min(to, n)
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
-    """(from row, to row, Words) for slices of a text column."""
-    data, offsets = text_buffers(column)
-    for a, b in slices(offsets):
-        yield a, b, Words(data, offsets[a : b + 1], lower)
-
-
 # --- sorted groups ---------------------------------------------------------------------------
 
 
