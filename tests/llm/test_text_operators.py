@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing, quality_rules, sentencepiece_fst, token_counts
+from tidemark.llm.shared import text_buffers
 
 BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 ODD = ["", " ", "a  b\n\n c <|endoftext|> x<|endoftext|>", "  lead", "trail  ", "\n x", "x y  　z", "don't WE'LL 12a\t\tb \r\n", "漢字 かな ▁ x▁y ▁▁", "<0x0A> <unk> </s>", "aaaaaaaaa bbb", "😀 é é İ Σίσυφος ΣΑΣ", "x\x00y\x1fz", "<|STARTOFTEXT|> <|startoftext|>a", "# * !!"]
@@ -25,8 +27,21 @@ def test_tokenisers_equal_the_libraries(text):
     fst = sentencepiece_fst.transducer(PIECE)
     ids = _piece().encode(text)
     assert fst.encode(text) == ids and fst.decode(ids) == _piece().decode(ids)
-    (mine,) = packing.word_ids(WORD).ids([text.encode()])
-    assert np.frombuffer(mine, "<u4").tolist() == _word().encode(text, add_special_tokens=False).ids
+    assert _word_ids([text]) == [_word().encode(text, add_special_tokens=False).ids]
+
+
+def _word_ids(texts):
+    data, offsets = text_buffers(pa.array(texts, pa.string()))
+    ids, bounds = packing.word_ids(WORD).ids(data, offsets, 1)
+    found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+    assert all(x[-1] == 1 for x in found)
+    return [x[:-1] for x in found]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"ab'stvelrdm'19!-\u00e9\u00c9\u0130\u03a3\u00a0\u6f22\x01 \n", "'re", "'s", "<|endoftext|>", "<|ENDOFTEXT|>"]), max_size=20).map("".join), max_size=5))
+def test_word_ids_equal_the_library(texts):
+    assert _word_ids(texts) == [_word().encode(t, add_special_tokens=False).ids for t in texts]
 
 
 _cache = {}
