@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans import catalog
+from tidemark.plans import catalog, stored_catalog  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")

@@ -103,5 +103,8 @@ def test_missing_day_sample_and_summary(spark):
     assert rows(report.select("s", "n_rows", "zero_columns", "n_missing", "is_empty", "has_issue")) == [("a", 3, "v", 3, False, True), ("z", 0, "", 0, True, True)]
     assert tuple(quality.summary(report).first()) == (2, 2, 1, 3, 0, 1, 0)
     assert tuple(quality.summary(report.limit(0)).first()) == (0, 0, 0, 0, 0, 0, 0)
+    failed = quality.integrity_report(every, df.withColumn("v", F.lit(0.0)), ["s"], F.col("t").isNull(), ["v"], "t", day, unreadable=F.col("t") == 6 * day + 1)
+    assert rows(failed.select("s", "n_rows", "zero_columns", "n_missing", "failed", "has_issue")) == [("a", 3, "", 0, True, False), ("z", 0, "", 0, False, True)]
+    assert tuple(quality.summary(failed).first()) == (2, 1, 1, 0, 0, 0, 1)
     off = quality.integrity_report(every, df.withColumn("v", F.lit(0.0)), ["s"], F.lit(True), ["v"], "t", day, rows=False, zeros=False, days=False)
     assert rows(off.select("s", "has_issue")) == [("a", False), ("z", True)]

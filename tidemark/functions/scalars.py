@@ -11,6 +11,8 @@ MICROS_FROM = 10**15
 SPOT_MICROS_SINCE = "2025-01-01"
 #: Lookback of restricted series in days, their longest request and its slack in minutes.
 RESTRICTED_DAYS, REQUEST_MINUTES, SLACK_MINUTES = 29, 2495, 5
+#: Days that the cursor moves on after a page without records; fixed value.
+EMPTY_PAGE_DAYS = 200
 FUNDING_INTERVAL_MS = 8 * 3_600_000
 
 _SECOND, _MINUTE, _HOUR, _DAY = 1000, 60_000, 3_600_000, 86_400_000
@@ -208,6 +210,11 @@ def next_cursor(last: Column, cursor: Column, ms: Column | int) -> Column:
     return _plus(F.greatest(last, cursor), ms)
 
 
+def cursor_after(last: Column, cursor: Column, ms: Column | int) -> Column:
+    """The cursor after a page: past its last record, or far on if the page was empty (null)."""
+    return F.when(last.isNull(), _plus(cursor, EMPTY_PAGE_DAYS * _DAY)).otherwise(next_cursor(last, cursor, ms))
+
+
 def clamped_start(start: Column, today: Column) -> Column:
     return F.greatest(start, _plus(today, -RESTRICTED_DAYS * _DAY))
 

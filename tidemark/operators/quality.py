@@ -1,6 +1,6 @@
 """Integrity reports: empty tables, invalid rows, all-zero columns, missing days, time units.
 
-One scan gives all counts of all symbols; one aggregation by symbol and day gives the gaps.
+One scan, aggregated by symbol and day and then by symbol, gives a report's counts and gaps.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from ..functions.scalars import day_date, day_number, is_finite
 SHOWN_DAYS = 20
 
 
-def row_counts(df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str]) -> DataFrame:
-    """Per group: n_rows, n_invalid, and zeros and unusable values (null or not finite) of checked columns."""
-    counts = [F.count(F.lit(1)).alias("n_rows"), F.count_if(invalid).alias("n_invalid")]
+def row_counts(df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """Per group: n_rows, n_invalid, zeros and unusable values (null or not finite) of checked columns, and
+    ``more`` aggregates."""
+    counts = [F.count(F.lit(1)).alias("n_rows"), F.count_if(invalid).alias("n_invalid"), *more]
     for c in checked:
         counts += [F.count_if(F.col(c) == 0).alias(f"{c}__zero"), F.count_if(~F.coalesce(is_finite(F.col(c).cast("double")), F.lit(False))).alias(f"{c}__unusable")]
     return df.groupBy(*groups).agg(*counts)
@@ -69,25 +70,44 @@ def missing_day_samples(df: DataFrame, groups: Sequence[str], time: str, units_p
     return out.select(*groups, "n_missing", F.concat(text, F.when(F.col("n_missing") > shown, ", ..." if shown else "...").otherwise("")).alias("sample"))
 
 
-def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str], time: str, units_per_day: int, shown: int = SHOWN_DAYS, rows: bool = True, zeros: bool = True, days: bool = True) -> DataFrame:
+def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str], time: str, units_per_day: int, shown: int = SHOWN_DAYS, rows: bool = True, zeros: bool = True, days: bool = True, unreadable: Column | None = None) -> DataFrame:
     """A row for each group of the universe: n_rows, n_invalid, zero_columns, n_missing, missing_sample,
-    is_empty, has_issue. Checks that are switched off report nothing; an empty table is not checked further."""
-    counts = row_counts(df, groups, invalid, checked)
+    is_empty, failed, has_issue. Checks that are switched off report nothing; an empty table is not checked
+    further. A group with an ``unreadable`` row has failed: it is counted, but not checked.
+
+    One scan and one shuffle of partial counts by group and day give everything; a group's days then come
+    together as one list, of as many entries as it has days."""
+    day = F.when(F.col(time) > 0, day_number(F.col(time), units_per_day))
+    failed = F.lit(False) if unreadable is None else F.coalesce(unreadable, F.lit(False))
+    daily = row_counts(df.withColumns({"__day": day, "__failed": failed}), [*groups, "__day"], invalid, checked, [F.max("__failed").alias("failed")])
+    sums = [F.sum(c).alias(c) for c in daily.columns if c not in (*groups, "__day", "failed")]
+    counts = daily.groupBy(*groups).agg(*sums, F.max("failed").alias("failed"), F.array_sort(F.collect_list("__day")).alias("days"))
     names = F.array_join(F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(_all_zero(c), F.lit(c)) for c in checked))), ",")
-    counts = counts.select(*groups, "n_rows", (F.col("n_invalid") if rows else F.lit(0).cast("long")).alias("n_invalid"), (names if zeros else F.lit("")).alias("zero_columns"))
+    n, following = F.size("days"), F.slice("days", 2, F.greatest(F.size("days") - 1, F.lit(0)))
+    missing = F.when(n > 1, F.element_at("days", -1) - F.element_at("days", 1) + 1 - n).otherwise(0)
+    pairs = F.filter(F.arrays_zip(F.col("days").alias("a"), following.alias("b")), lambda p: p["b"] > p["a"] + 1)
+    some = F.flatten(F.transform(pairs, lambda p: F.sequence(p["a"] + 1, F.least(p["b"] - 1, p["a"] + max(shown, 1)))))
+    text = F.array_join(F.transform(F.slice(some, 1, shown), lambda d: F.date_format(day_date(d), "yyyy-MM-dd")), ", ")
+    sample = F.when(missing > 0, F.concat(text, F.when(missing > shown, ", ..." if shown else "...").otherwise("")))
+    zero, none, ok = F.lit(0).cast("long"), F.lit(""), ~F.col("failed")
+    counts = counts.select(
+        *groups,
+        "n_rows",
+        "failed",
+        (F.when(ok, F.col("n_invalid")) if rows else zero).alias("n_invalid"),
+        (F.when(ok, names) if zeros else none).alias("zero_columns"),
+        (F.when(ok, missing) if days else zero).alias("n_missing"),
+        (F.when(ok, sample) if days else none).alias("missing_sample"),
+    )
     out = universe.select(*groups).distinct().join(counts, list(groups), "left")
-    if days:
-        out = out.join(missing_day_samples(df, groups, time, units_per_day, shown), list(groups), "left")
-    else:
-        out = out.withColumns({"n_missing": F.lit(0).cast("long"), "sample": F.lit("")})
-    zero = F.lit(0).cast("long")
-    out = out.select(*groups, F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("n_invalid", zero).alias("n_invalid"), F.coalesce("zero_columns", F.lit("")).alias("zero_columns"), F.coalesce("n_missing", zero).alias("n_missing"), F.coalesce("sample", F.lit("")).alias("missing_sample"))
+    out = out.select(*groups, F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("n_invalid", zero).alias("n_invalid"), F.coalesce("zero_columns", none).alias("zero_columns"), F.coalesce("n_missing", zero).alias("n_missing"), F.coalesce("missing_sample", none).alias("missing_sample"), F.coalesce("failed", F.lit(False)).alias("failed"))
     empty = F.col("n_rows") == 0
     return out.withColumn("is_empty", empty).withColumn("has_issue", empty | (F.col("n_invalid") > 0) | (F.col("zero_columns") != "") | (F.col("n_missing") > 0))
 
 
-def summary(report: DataFrame, failed: int = 0) -> DataFrame:
-    """One row of totals over a report; ``failed`` tables are those that could not be checked."""
+def summary(report: DataFrame) -> DataFrame:
+    """One row of totals over a report. Failed tables count as tables, and as failed, but not as such with
+    issues."""
 
     def total(column: Column, name: str) -> Column:
         return F.coalesce(F.sum(column), F.lit(0)).cast("long").alias(name)
@@ -100,7 +120,7 @@ def summary(report: DataFrame, failed: int = 0) -> DataFrame:
         total(F.col("n_missing"), "n_missing_days"),
         total(F.col("n_invalid"), "n_invalid_rows"),
         total(zero_columns, "n_zero_columns"),
-        F.lit(failed).cast("long").alias("n_failed"),
+        total(F.col("failed").cast("long"), "n_failed"),
     )
 
 

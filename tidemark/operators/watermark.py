@@ -83,6 +83,16 @@ def window_plan(marks: DataFrame, end: Column, today: Column, interval_ms: int =
     return rows.withColumn("window_end", S.request_end(F.col("window_start"), end)).drop("__start")
 
 
+def next_windows(cursors: DataFrame, pages: DataFrame, groups: Sequence[str], end: Column, time: str = "timestamp", interval_ms: int = 300_000) -> DataFrame:
+    """The next request (groups, cursor, window_start, window_end) of every group whose last page has come:
+    ``cursors`` holds where each stood, and ``pages`` the records that were found, if any, from there on.
+    Groups that have reached ``end`` are done."""
+    last = page_overlap(pages, cursors.withColumnRenamed("cursor", "watermark"), groups, time).groupBy(*groups).agg(F.max(time).alias("__last"))
+    moved = cursors.join(last, list(groups), "left").withColumn("cursor", S.cursor_after(F.col("__last"), F.col("cursor"), interval_ms))
+    moved = moved.where(F.col("cursor") < end)
+    return moved.select(*groups, "cursor", S.request_start(F.col("cursor"), interval_ms).alias("window_start"), S.request_end(F.col("cursor"), end).alias("window_end"))
+
+
 def reuse_complete(plan: DataFrame, verified: DataFrame, key: str = "name") -> DataFrame:
     """Planned files that are not yet there with a valid checksum."""
     return plan.join(verified.where("status = 'valid'").select(key), key, "left_anti")

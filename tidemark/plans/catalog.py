@@ -331,9 +331,9 @@ def missing_days_sample(spark: SparkSession, d: str) -> DataFrame:
 _REPORT = f"""
 WITH {_MISSING}, {_SAMPLE},
 u AS (SELECT c_custkey::VARCHAR AS symbol FROM customer UNION SELECT user_id::VARCHAR FROM events),
-c AS (SELECT user_id::VARCHAR AS symbol, count(*) AS n, count(*) FILTER (value < 20) AS b, count(*) FILTER (value - value = 0) AS z FROM events GROUP BY 1),
-r AS (SELECT symbol, coalesce(n, 0)::BIGINT AS n_rows, coalesce(b, 0)::BIGINT AS n_invalid, CASE WHEN n = z THEN 'quantity' ELSE '' END AS zero_columns,
-  coalesce(n_missing, 0)::BIGINT AS n_missing, coalesce(sample, '') AS missing_sample, n IS NULL AS is_empty FROM u LEFT JOIN c USING (symbol) LEFT JOIN s USING (symbol)),
+c AS (SELECT user_id::VARCHAR AS symbol, count(*) AS n, count(*) FILTER (value < 20) AS b, count(*) FILTER (value - value = 0) AS z, bool_or(event_id % 1499 = 0) AS f FROM events GROUP BY 1),
+r AS (SELECT symbol, coalesce(n, 0)::BIGINT AS n_rows, CASE WHEN f THEN 0 ELSE coalesce(b, 0) END::BIGINT AS n_invalid, CASE WHEN n = z AND NOT f THEN 'quantity' ELSE '' END AS zero_columns,
+  CASE WHEN f THEN 0 ELSE coalesce(n_missing, 0) END::BIGINT AS n_missing, CASE WHEN f THEN '' ELSE coalesce(sample, '') END AS missing_sample, coalesce(f, false) AS failed, n IS NULL AS is_empty FROM u LEFT JOIN c USING (symbol) LEFT JOIN s USING (symbol)),
 q AS (SELECT *, is_empty OR n_invalid > 0 OR zero_columns <> '' OR n_missing > 0 AS has_issue FROM r)"""
 
 
@@ -341,7 +341,7 @@ def _report(spark: SparkSession, d: str) -> DataFrame:
     rows = _trades(spark, d, "user_id").withColumns({"price": F.col("price") - 20, "quantity": F.col("quantity") - F.col("quantity")})
     every = _table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("symbol")).unionByName(rows.select("symbol"))
     kind = DATA_TYPES["agg_trades"]
-    return quality.integrity_report(every, rows, ["symbol"], P.invalid_trade(), kind.checked, kind.time, kind.units_per_day, 3)
+    return quality.integrity_report(every, rows, ["symbol"], P.invalid_trade(), kind.checked, kind.time, kind.units_per_day, 3, unreadable=F.col("agg_trade_id") % 1499 == 0)
 
 
 @query(f"{_REPORT} SELECT * FROM q")
@@ -351,7 +351,7 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""{_REPORT}
 SELECT count(*)::BIGINT AS n_tables, count(*) FILTER (has_issue)::BIGINT AS n_with_issues, count(*) FILTER (is_empty)::BIGINT AS n_empty, sum(n_missing)::BIGINT AS n_missing_days,
-  sum(n_invalid)::BIGINT AS n_invalid_rows, count(*) FILTER (zero_columns <> '')::BIGINT AS n_zero_columns, 0::BIGINT AS n_failed FROM q""")
+  sum(n_invalid)::BIGINT AS n_invalid_rows, count(*) FILTER (zero_columns <> '')::BIGINT AS n_zero_columns, count(*) FILTER (failed)::BIGINT AS n_failed FROM q""")
 def quality_summary(spark: SparkSession, d: str) -> DataFrame:
     return quality.summary(_report(spark, d))
 

@@ -140,14 +140,20 @@ def landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def checksums(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """(name, sha256, expected, status): 'valid', 'mismatch', 'empty' or 'missing' by the first word of the
-    sidecar, in any case."""
+    """(name, sha256, expected, status) of landed files and their sidecars, as ``verified`` gives them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
     sides = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.CHECKSUM").option("recursiveFileLookup", "true").text(path)
-    sides = sides.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.CHECKSUM$", "").alias("name"), F.lower(F.element_at(F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " "), 1)).alias("expected"), F.lit(True).alias("found"))
+    return verified(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), sides.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.CHECKSUM$", "").alias("name"), "value"))
+
+
+def verified(files: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """(name, sha256, expected, status) of files (name, content) by sidecars (name, value): 'valid',
+    'mismatch', 'empty' or 'missing' by the first word of the sidecar, in any case. Contents are hashed
+    before the join, so that only names and digests are shuffled."""
+    hashed = files.select("name", F.sha2("content", 256).alias("sha256"))
+    sides = sidecars.select("name", F.lower(F.element_at(F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " "), 1)).alias("expected"), F.lit(True).alias("found"))
     status = F.when(F.col("found").isNull(), "missing").when(F.col("expected") == "", "empty").when(F.col("expected") == F.col("sha256"), "valid").otherwise("mismatch")
-    return files.join(sides, "name", "left").select("name", "sha256", "expected", status.alias("status"))
+    return hashed.join(sides, "name", "left").select("name", "sha256", "expected", status.alias("status"))
 
 
 def require_valid(checked: DataFrame) -> DataFrame:

@@ -1,20 +1,24 @@
 """Stored tables: discovery, replacement, partition-scoped rewriting, copies, splits, layout, export.
 
-Tables are Parquet, partitioned by market, symbol and month. There is no MERGE: a rewrite is staged, then
-overwrites the partitions it touches, and drops those left empty.
+Tables are Parquet, partitioned by market, symbol and month. There is no MERGE: a rewrite reads and stages
+only the partitions that it touches, then moves each of them into its place by a redo log, which a later
+call carries on after a crash. Swaps of whole tables put the old one aside until the new one is in place.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import from_micros, from_millis
-from ..operators.merge import replace_tail, require_unique, upsert
+from ..operators.merge import replace_tail, replace_tails, require_unique, upsert
 from ..schemas import DataType
 
 PARTITIONS = ("market", "symbol", "month")
@@ -38,6 +42,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def _renamed(spark: SparkSession, source: str, target: str) -> None:
+    fs, path = _fs(spark, source)
+    if not fs.rename(path, _fs(spark, target)[1]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def _siblings(spark: SparkSession, path: str, mark: str) -> list[str]:
+    """Folders beside a table whose names are the table's and then ``mark``, in the order of their names."""
+    fs, target = _fs(spark, f"{path.rstrip('/')}{mark}*")
+    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
+
+
+def partition_path(spark: SparkSession, market: str, symbol: str, month: str | None = None) -> str:
+    """The folder of a partition below its table, its values escaped as Spark writes them."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    names = zip(PARTITIONS, (market, symbol, month) if month else (market, symbol), strict=False)
+    return "/".join(f"{n}={escape(v) if v else '__HIVE_DEFAULT_PARTITION__'}" for n, v in names)
+
+
 def table_names(spark: SparkSession, database: str | None = None) -> list[str]:
     """Tables of a database in the order of their names; none if it does not exist."""
     if database and not spark.catalog.databaseExists(database):
@@ -75,10 +98,11 @@ def month_of(kind: DataType, time: str | None = None) -> Column:
 
 
 def laid_out(df: DataFrame, kind: DataType) -> DataFrame:
-    """Rows by partition, sorted by time and key within, so that row groups cover narrow time ranges."""
+    """Rows by partition, sorted by time and key within, so that row groups cover narrow time ranges. Small
+    partitions share a task, and a large one (a busy symbol's month) is split over several."""
     df = df if "month" in df.columns else df.withColumn("month", month_of(kind))
     order = list(dict.fromkeys([*PARTITIONS, kind.time, *kind.key]))
-    return df.repartition(*PARTITIONS).sortWithinPartitions(*order)
+    return df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*order)
 
 
 def _writer(df: DataFrame, kind: DataType):
@@ -88,25 +112,52 @@ def _writer(df: DataFrame, kind: DataType):
     return writer
 
 
+def _schema(kind: DataType) -> StructType:
+    return StructType.fromDDL(f"{kind.columns}, market string, symbol string, month string")
+
+
 def read(spark: SparkSession, path: str, kind: DataType) -> DataFrame:
     """The table with its declared columns; an absent one is empty."""
-    schema = StructType.fromDDL(f"{kind.columns}, market string, symbol string, month string")
+    recover(spark, path)
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+        return spark.createDataFrame([], _schema(kind))
+    return spark.read.schema(_schema(kind)).parquet(path)
 
 
 def replace(df: DataFrame, path: str, kind: DataType, unique: bool = True) -> None:
-    """Swap the whole table. Keys are checked, and rows written, beside the old table first: a failure
-    leaves it as it was. No rows leave an empty table."""
-    spark = df.sparkSession
+    """Swap the whole table. Keys are checked, and rows written, beside the old table first; the old table
+    is put aside, and comes back if the new one cannot take its place (or, after a crash in between, with
+    the next call that reads or writes it). No rows leave an empty table."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
     if unique:
         require_unique(df, ["market", "symbol", *kind.key])
-    staged = f"{path.rstrip('/')}__{uuid.uuid4().hex[:8]}"
+    mark = uuid.uuid4().hex[:8]
+    staged, aside = f"{path}__new-{mark}", f"{path}__old-{mark}"
     _writer(df, kind).parquet(staged)
-    fs, target = _fs(spark, path)
-    fs.delete(target, True)
-    fs.rename(_fs(spark, staged)[1], target)
+    if path_exists(spark, path):
+        _renamed(spark, path, aside)
+    try:
+        _renamed(spark, staged, path)
+    except Exception:
+        if path_exists(spark, aside):
+            _renamed(spark, aside, path)
+        remove_path(spark, staged)
+        raise
+    remove_path(spark, aside)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish what a crash has left undone: bring back a table that was put aside, and carry on moves."""
+    path = path.rstrip("/")
+    for aside in _siblings(spark, path, "__old-"):
+        if path_exists(spark, path):
+            remove_path(spark, aside)
+        else:
+            _renamed(spark, aside, path)
+    for staged in _siblings(spark, path, "__rewrite-"):
+        if path_exists(spark, f"{staged}/_moves"):
+            _move(spark, staged, path)
 
 
 def append(df: DataFrame, path: str, kind: DataType) -> None:
@@ -115,18 +166,34 @@ def append(df: DataFrame, path: str, kind: DataType) -> None:
     _writer(df.select(*columns), kind).mode("append").parquet(path)
 
 
-def rewrite(spark: SparkSession, result: DataFrame, touched: DataFrame, path: str, kind: DataType) -> None:
-    """Overwrite the ``touched`` partitions (market, symbol, month) with their rows of ``result``, which may
-    read the table itself; touched partitions without rows are dropped."""
-    staged = f"{path.rstrip('/')}__{uuid.uuid4().hex[:8]}"
-    result = result.drop("month").withColumn("month", month_of(kind))
-    _writer(result.join(touched, list(PARTITIONS), "left_semi"), kind).parquet(staged)
-    schema = StructType.fromDDL(f"{kind.columns}, market string, symbol string, month string")
-    new = spark.read.schema(schema).parquet(staged)
-    emptied = touched.join(new.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_anti").collect()
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
-    for p in emptied:  # partition values only: symbols times months that lost all rows
-        remove_path(spark, f"{path}/market={p.market}/symbol={p.symbol}/month={p.month}")
+def rewrite(spark: SparkSession, result: DataFrame, touched: Iterable[tuple[str, str, str]], path: str, kind: DataType) -> None:
+    """Replace the ``touched`` partitions (market, symbol, month) by their rows of ``result``, which may read
+    the table itself and holds no other rows; partitions without rows go. One write, in the table's layout."""
+    path = path.rstrip("/")
+    staged = f"{path}__rewrite-{uuid.uuid4().hex[:8]}"
+    _writer(result, kind).parquet(staged)
+    places = [partition_path(spark, *p) for p in touched]
+    moves = [(p, path_exists(spark, f"{staged}/{p}")) for p in places]
+    spark.createDataFrame([(json.dumps(moves),)], "value string").coalesce(1).write.text(f"{staged}/_moves")
+    _move(spark, staged, path)
+
+
+def _move(spark: SparkSession, staged: str, path: str) -> None:
+    """Carry out the moves that a rewrite has written down; those done already are passed over."""
+
+    def move(step: tuple[str, bool]) -> None:
+        place, filled = step
+        new, old = f"{staged}/{place}", f"{path}/{place}"
+        if filled and not path_exists(spark, new):
+            return
+        remove_path(spark, old)
+        if filled:
+            fs, parent = _fs(spark, old.rsplit("/", 1)[0])
+            fs.mkdirs(parent)
+            _renamed(spark, new, old)
+
+    with ThreadPoolExecutor(16) as pool:  # names of folders only, no data
+        list(pool.map(move, json.loads(spark.read.text(f"{staged}/_moves").first().value)))
     remove_path(spark, staged)
 
 
@@ -134,37 +201,78 @@ def _months(df: DataFrame, kind: DataType) -> DataFrame:
     return df.select("market", "symbol", month_of(kind).alias("month"))
 
 
+def _values(places: DataFrame) -> set[tuple[str, str, str]]:
+    """Distinct partition values: names of symbols and months, whose number does not grow with the rows."""
+    return {tuple(r) for r in places.select(*PARTITIONS).distinct().collect()}
+
+
+def _within(target: DataFrame, places: Iterable[tuple[str, str, str]], columns: int = 3) -> DataFrame:
+    """Rows of the partitions given, or of their symbols in all months. The filters are on partition columns
+    alone, so that no other folder is read."""
+    places = {p[:columns] for p in places}
+    for i, name in enumerate(PARTITIONS[:columns]):
+        target = target.where(F.col(name).isin(sorted({p[i] for p in places})))
+    return target.where(F.struct(*PARTITIONS[:columns]).isin([F.struct(*map(F.lit, p)) for p in sorted(places)])) if places else target.limit(0)
+
+
+def _moved(target: DataFrame, incoming: DataFrame, kind: DataType, places: set[tuple[str, str, str]]) -> set[tuple[str, str, str]]:
+    """Partitions that hold an incoming key now. A key with the time in it is in its own month; others are
+    looked for among the months of their symbols."""
+    if kind.time in kind.key:
+        return set()
+    keys = ["market", "symbol", *kind.key]
+    return _values(_within(target, places, 2).join(incoming.select(*keys), keys, "left_semi"))
+
+
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType) -> None:
     """Keyed upsert of a stored table. A key that comes twice is an error before anything is written; no
-    rows change nothing, and make no table."""
+    rows change nothing, and make no table. Only partitions that hold an old or a new row of an incoming
+    key are read and written."""
     if incoming.isEmpty():
         return
     keys = ["market", "symbol", *kind.key]
     require_unique(incoming, keys)
-    target = read(spark, path, kind)
-    result = upsert(target.drop("month"), incoming, keys)
-    moved = target.join(incoming.select(*keys), keys, "left_semi").select(*PARTITIONS)
-    rewrite(spark, result, _months(incoming, kind).unionByName(moved).distinct(), path, kind)
+    target, new = read(spark, path, kind), incoming.withColumn("month", month_of(kind))
+    places = _values(new)
+    places |= _moved(target, incoming, kind, places)
+    rewrite(spark, upsert(_within(target, places), new, keys), places, path, kind)
 
 
 def replace_tail_table(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, order: Sequence[str]) -> None:
     """Tail replacement of a stored table by one file a symbol."""
-    groups = ["market", "symbol"]
-    target = read(spark, path, kind)
-    result = replace_tail(target.drop("month"), incoming, groups, list(kind.key), kind.time, order)
-    starts = _months(incoming, kind).groupBy(*groups).agg(F.min("month").alias("__from"))
-    cut = target.join(starts, groups).where("month >= __from AND month != 'none'").select(*PARTITIONS)
-    moved = target.join(incoming.select(*groups, *kind.key), [*groups, *kind.key], "left_semi").select(*PARTITIONS)
-    touched = _months(incoming, kind).unionByName(cut).unionByName(moved).distinct()
-    rewrite(spark, result, touched, path, kind)
+    new = incoming.withColumn("month", month_of(kind))
+    _rewrite_tails(spark, incoming, path, kind, lambda target: replace_tail(target, new, ["market", "symbol"], list(kind.key), kind.time, order))
+
+
+def replace_tails_table(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, file_seq: str, line: str) -> None:
+    """Tail replacement of a stored table by many files a symbol, in the order of ``file_seq``."""
+    new = incoming.withColumn("month", month_of(kind))
+    _rewrite_tails(spark, incoming, path, kind, lambda target: replace_tails(target, new, ["market", "symbol"], list(kind.key), kind.time, file_seq, line))
+
+
+def _rewrite_tails(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, change: Callable[[DataFrame], DataFrame]) -> None:
+    """``change`` the partitions from each symbol's first incoming month on, and those that hold its keys."""
+    target, places = read(spark, path, kind), _values(_months(incoming, kind))
+    first = {}
+    for market, symbol, month in sorted(places):
+        first.setdefault((market, symbol), month)
+    here = _values(_within(target, places, 2))
+    places |= {p for p in here if p[2] >= first[p[:2]] and p[2] != "none"}
+    places |= _moved(target, incoming, kind, places)
+    rewrite(spark, change(_within(target, places)), places, path, kind)
 
 
 def split_shared(spark: SparkSession, names: Sequence[str], market: str, path: str, kind: DataType) -> int:
-    """Move legacy tables, one a symbol, into the partitioned table, then drop them; gives their number."""
+    """Move legacy tables, one a symbol, into the partitioned table in one job, then drop them; gives their
+    number. A symbol's legacy table replaces what the partitioned one holds of it, so that doing it again
+    after a crash changes nothing."""
     found = [n for n in names if table_exists(spark, n)]
-    for name in found:
-        rows = spark.table(name).withColumns({"market": F.lit(market), "symbol": F.lit(name.rsplit(".", 1)[-1].upper())})
-        append(rows, path, kind)
+    if not found:
+        return 0
+    each = [spark.table(n).select(*kind.schema.names).withColumns({"market": F.lit(market), "symbol": F.lit(n.rsplit(".", 1)[-1].upper())}) for n in found]
+    rows = reduce(DataFrame.unionByName, each).withColumn("month", month_of(kind))
+    symbols = {(market, n.rsplit(".", 1)[-1].upper(), "") for n in found}
+    rewrite(spark, rows, _values(rows) | _values(_within(read(spark, path, kind), symbols, 2)), path, kind)
     for name in found:
         drop_table(spark, name)
     return len(found)
@@ -177,11 +285,22 @@ def drop_symbols(spark: SparkSession, gone: DataFrame, path: str) -> int:
         return 0
     names = gone.select("market", F.lower("symbol").alias("__name")).distinct()
     rows = here.withColumn("__name", F.lower("symbol")).join(names, ["market", "__name"], "left_semi").collect()
-    for r in rows:
-        remove_path(spark, f"{path}/market={r.market}/symbol={r.symbol}")
+    with ThreadPoolExecutor(16) as pool:  # names of folders only, no data
+        list(pool.map(lambda r: remove_path(spark, f"{path}/{partition_path(spark, r.market, r.symbol)}"), rows))
     return len(rows)
 
 
+def sql_over(spark: SparkSession, views: dict[str, DataFrame], statement: str) -> DataFrame:
+    """The result of an SQL statement over the frames, by the names given; the names end with the call."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    try:
+        return spark.sql(statement)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+
+
 def export_snapshot(spark: SparkSession, path: str, target: str) -> DataFrame | None:
     """Copy a table to a snapshot, replacing an older one, and give (name, length, sha256, line) of its
     files; None if there is no table. A failed copy leaves nothing."""

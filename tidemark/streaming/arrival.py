@@ -1,7 +1,9 @@
 """Ingestion of arriving files: each micro-batch replaces the tails of the symbols it brings.
 
 A batch that is replayed after a failure changes nothing more, since replacing a tail by the same file
-twice gives the same table.
+twice gives the same table. Within a batch files are applied in the order of their periods, and batches in
+the order in which their files landed: a file of an earlier period that lands later replaces the tail from
+its own first time on, so later periods must land again after it, as they do in a load plan.
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scalars import file_period, source_unit
 from ..schemas import DATA_TYPES
 from ..sources.landed import accepted, parse_trades, with_file_order, without_header
-from ..sources.tables import read, rewrite
-from ..operators.merge import replace_tails
 from ..sources import tables
 
 
@@ -37,14 +37,7 @@ def ingest_trades(lines: DataFrame, table: str, market: str) -> None:
     rows = accepted(parse_trades(without_header(lines, "agg_trade_id"), F.col("market"), unit)).join(files, "file")
     if rows.isEmpty():
         return
-    target = read(spark, table, kind)
-    groups = ["market", "symbol"]
-    result = replace_tails(target.drop("month"), rows, groups, list(kind.key), kind.time, "file_seq", "place")
-    months = rows.select(*groups, tables.month_of(kind).alias("month"))
-    starts = months.groupBy(*groups).agg(F.min("month").alias("__from"))
-    cut = target.join(starts, groups).where("month >= __from AND month != 'none'").select(*tables.PARTITIONS)
-    moved = target.join(rows.select(*groups, *kind.key), [*groups, *kind.key], "left_semi").select(*tables.PARTITIONS)
-    rewrite(spark, result, months.unionByName(cut).unionByName(moved).distinct(), table, kind)
+    tables.replace_tails_table(spark, rows, table, kind, "file_seq", "place")
 
 
 def start_ingestion(spark: SparkSession, path: str, table: str, market: str, checkpoint: str, on_batch: Callable[[int], None] | None = None) -> StreamingQuery:
