@@ -160,11 +160,28 @@ def test_quality_rules(spark, docs, clashing):
 def test_quality_rules_use_no_python_and_order_does_not_matter(spark, docs):
     plan = quality_rules.apply_rules(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    df = quality_rules.measured(docs, quality_rules.MEASURES, "text")
-    for rules in (quality_rules.RULES, quality_rules.RULES[::-1]):
-        assert df.where(quality_rules.verdict(rules).isNull()).count() == df.where(quality_rules.verdict(quality_rules.RULES).isNull()).count()
+    want = {(r.doc_id, r.kept) for r in quality_rules.apply_rules(docs, order=quality_rules.RULES).collect()}
+    for order in (quality_rules.RULES[::-1], quality_rules.RULES[3:] + quality_rules.RULES[:3]):
+        assert {(r.doc_id, r.kept) for r in quality_rules.apply_rules(docs, order=order).collect()} == want
+        left = quality_rules.filter_documents(docs, order=order)
+        assert {r.doc_id for r in left.collect()} == {d for d, kept in want if kept}
     estimates = quality_rules.estimate(docs, quality_rules.RULES, 50, 1)
-    assert [e.gain for e in estimates] == sorted((e.gain for e in estimates), reverse=True)
+    assert {e.rule for e in estimates} == set(quality_rules.RULES) and all(e.seconds >= 0 and 0 <= e.rejected <= 1 for e in estimates)
+    free = quality_rules.estimate(docs, quality_rules.RULES, 50, 1, made=quality_rules.REPORTED)
+    assert all(e.seconds == 0 for e in free if set(e.rule.measures) <= set(quality_rules.REPORTED))
+
+
+def test_a_rejection_spares_the_later_measures(spark, monkeypatch):
+    """A measure that fails wherever it is made is not made for texts that an earlier rule rejects."""
+    monkeypatch.setitem(quality_rules._STEPS[4], "n_trap", lambda: F.raise_error(F.col("text")).cast("long"))
+    monkeypatch.setitem(quality_rules._NEEDS, "n_trap", ["text"])
+    trap = quality_rules.Rule("trap", "n_trap > 0", ("n_trap",))
+    short = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    first = (quality_rules.BASE_RULES[0], trap)
+    assert [r.rejected_by for r in quality_rules.apply_rules(short, order=first).collect()] == ["few_words"] * 2
+    assert quality_rules.filter_documents(short, order=first).collect() == []
+    with pytest.raises(Exception, match="one two"):
+        quality_rules.apply_rules(short.where("doc_id = 1"), order=first[::-1]).collect()
 
 
 def test_junk_goes_and_clean_text_stays(spark):

@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule's cost and the share of texts that it rejects are measured on a small sample; rules are then
-tried in the order of rejections per cost, and a text's first rejection spares it the later rules.
-Only built-in SQL functions are used. The order never changes which texts are kept.
+Each measure's cost and the texts that each rule rejects are found on a small sample. Rules are then tried
+in the order of rejections per cost, where both count only what a rule adds to those before it: texts that
+are still there, and measures that are not yet made. A text's first rejection spares it all measures that
+only later rules need. Only built-in SQL functions are used. The order never changes which texts are kept.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 #: Fixed value: words are what lies between these characters.
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -71,17 +74,34 @@ _NEEDS = {"n_words": ["words"], "windows": ["words"], "at": ["windows"], "n_repe
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")
 
 
-def measured(docs: DataFrame, measures: Sequence[str], text_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` and the measures of each whole text (null: empty), computing only what they need."""
+def _closure(measures: Sequence[str]) -> set[str]:
+    """Measures, and what they are made from."""
     need, todo = set(), list(measures)
     while todo:
         need.add(m := todo.pop())
         todo += _NEEDS[m]
-    kept = [f"__kept_{i}" for i in range(len(keep))]
-    df = docs.select(F.col(text_col).alias("text"), *(F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)))
+    return need
+
+
+def _made(df: DataFrame, names: set[str], unless: str | None = None) -> DataFrame:
+    """``df`` with the named columns; where the column ``unless`` is not null they are null, and not made."""
     for step in _STEPS:
-        df = df.withColumns({name: make() for name, make in step.items() if name in need})
-    return df.select(*(F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)), *measures)
+        columns = {n: make() if unless is None else _once(F.when(F.col(unless).isNull(), make())) for n, make in step.items() if n in names}
+        df = df.withColumns(columns) if columns else df
+    return df
+
+
+def _source(docs: DataFrame, text_col: str, keep: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """The text and ``keep`` under names of their own, and the columns that give ``keep`` back."""
+    kept = [f"__kept_{i}" for i in range(len(keep))]
+    df = docs.select(F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)))
+    return df, [F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)]
+
+
+def measured(docs: DataFrame, measures: Sequence[str], text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` and the measures of each whole text (null: empty), computing only what they need."""
+    df, kept = _source(docs, text_col, keep)
+    return _made(df, _closure(measures)).select(*kept, *measures)
 
 
 @dataclass(frozen=True)
@@ -109,6 +129,8 @@ RULES = (
 
 @dataclass(frozen=True)
 class Estimate:
+    """What a rule adds after those before it: seconds for the sample, and the share of it that is rejected."""
+
     rule: Rule
     seconds: float
     rejected: float
@@ -119,62 +141,83 @@ class Estimate:
         return self.rejected / max(self.seconds, 1e-4)
 
 
-def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 200, repeats: int = 4, text_col: str = "text") -> list[Estimate]:
-    """Cost and selectivity of each rule on the first ``sample_rows`` texts that Spark finds, best first.
+def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 200, repeats: int = 4, text_col: str = "text", made: Sequence[str] = ()) -> list[Estimate]:
+    """The cascade's order, by cost and selectivity on the first ``sample_rows`` texts that Spark finds;
+    measures in ``made`` cost nothing, since they are made for every text.
 
-    A documented, bounded sample: it sets the order of the rules and nothing else. Each text is judged
-    ``repeats`` times, to lift the time over that of starting a job. An empty table keeps the given order.
+    A documented, bounded sample, which stays on the executors: it sets the order of the rules and nothing
+    else. Each text is judged ``repeats`` times, to lift the time over that of starting a job. Times differ
+    between runs, and so may the order. An empty table keeps the given order.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(text_col).alias("text")).take(sample_rows)
-    if not rows:
+    sample = stored(docs.select(F.col(f"`{text_col}`").alias("text")).limit(sample_rows), "quality-sample")
+    hits = measured(sample, sorted({m for r in rules for m in r.measures}), "text").select(*(F.coalesce(F.expr(r.rejects), F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules))).collect()
+    if not hits:
         return [Estimate(r, 1.0, 0.0) for r in rules]
-    sample = spark.createDataFrame([(r.text,) for r in rows], "text string").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-
-    def timed(rule: Rule | None) -> tuple[float, float]:
-        began = time.perf_counter()
-        if rule is None:
-            share = sample.agg(F.avg(F.octet_length("text"))).first()[0]
-        else:
-            share = measured(sample, rule.measures, "text").agg(F.avg(F.coalesce(F.expr(rule.rejects), F.lit(False)).cast("double"))).first()[0]
-        return time.perf_counter() - began, share or 0.0
-
-    timed(None)
-    floor = timed(None)[0]
-    found = [(r, *min(timed(r), timed(r))) for r in rules]
-    return sorted((Estimate(r, max(s - floor, 0.0), x) for r, s, x in found), key=lambda e: -e.gain)
-
-
-def verdict(rules: Sequence[Rule]) -> Column:
-    """Name of the first rule, in the given order, that rejects; null if none does. Later rules are not
-    evaluated once one has rejected."""
-    out = None
-    for r in rules:
-        hit = F.coalesce(F.expr(r.rejects), F.lit(False))
-        out = F.when(hit, r.name) if out is None else out.when(hit, r.name)
-    return F.lit(None).cast("string") if out is None else out
-
-
-def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 200, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep``, the measures, ``base_failed``, ``rejected_by`` (first rejecting rule in the cascade's
-    order) and ``kept``, one row per row of ``docs``, without a shuffle.
-
-    A null or empty text has no words and is rejected; null ids, ties and repeated rows are judged row by
-    row; an empty table gives an empty result; columns other than ``keep`` and the text are not read.
+    many = sample.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+
+    def timed(measure: str | None) -> float:
+        df = many.agg(F.sum(F.octet_length("text"))) if measure is None else measured(many, [measure], "text").agg(F.sum(measure))
+        times = []
+        for _ in range(3):
+            began = time.perf_counter()
+            df.collect()
+            times.append(time.perf_counter() - began)
+        return min(times)
+
+    floor, words = timed(None), 0.0
+    cost = {}
+    for m in sorted({m for r in rules for m in r.measures}, key=lambda m: m != "n_words"):
+        cost[m] = max(timed(m) - floor - (words if "words" in _closure([m]) else 0.0), 0.0)
+        words = cost[m] if m == "n_words" else words
+    have, left, todo, out = set(made), list(hits), list(enumerate(rules)), []
+    while todo:
+        found = []
+        for i, r in todo:
+            seconds = sum(cost[m] for m in r.measures if m not in have)
+            found.append((Estimate(r, seconds * len(left) / len(hits), sum(x[i] for x in left) / len(hits)), i))
+        best, i = max(found, key=lambda x: (x[0].gain, -x[1]))
+        out.append(best)
+        todo = [x for x in todo if x[0] != i]
+        have |= set(best.rule.measures)
+        left = [x for x in left if not x[i]]
+    return out
+
+
+def _cascade(df: DataFrame, order: Sequence[Rule], made: set[str]) -> DataFrame:
+    """``df`` (text, and the columns ``made``) with ``__by``: the first rule that rejects the text, or null.
+    A rule's measures are made only for texts that no earlier rule has rejected."""
+    df = df.withColumn("__by", F.lit(None).cast("string"))
+    for r in order:
+        need = _closure(r.measures) - made
+        df, made = _made(df, need, "__by"), made | need
+        df = df.withColumn("__by", _once(F.when(F.col("__by").isNotNull(), F.col("__by")).when(F.coalesce(F.expr(r.rejects), F.lit(False)), r.name)))
+    return df
+
+
+#: Measures that the report gives for every text; all others are made only where a rule needs them.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 200, text_col: str = "text", keep: Sequence[str] = ("doc_id",), reported: Sequence[str] = REPORTED, order: Sequence[Rule] | None = None) -> DataFrame:
+    """``keep``, the reported measures, ``base_failed``, ``rejected_by`` (first rejecting rule in the
+    cascade's order) and ``kept``, one row per row of ``docs``, without a shuffle.
+
+    ``order`` fixes the cascade instead of the sample. A null or empty text has no words and is rejected;
+    null ids, ties and repeated rows are judged row by row; an empty table gives an empty result; columns
+    other than ``keep`` and the text are not read. Equal three-word windows are told by a 64-bit hash.
     """
-    order = [e.rule for e in estimate(docs, rules, sample_rows, text_col=text_col)]
-    df = measured(docs, MEASURES, text_col, keep)
+    every = {*reported, *(m for r in BASE_RULES for m in r.measures)}
+    order = order or [e.rule for e in estimate(docs, rules, sample_rows, text_col=text_col, made=tuple(every))]
+    df, kept = _source(docs, text_col, keep)
+    made = _closure(tuple(every))
+    df = _cascade(_made(df, made), order, made)
     base = F.coalesce(F.expr(" OR ".join(f"({r.rejects})" for r in BASE_RULES)), F.lit(False))
     df = df.withColumn("base_failed", base)
-    return df.withColumn("rejected_by", verdict(order)).withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
+    return df.select(*kept, *reported, "base_failed", F.col("__by").alias("rejected_by"), (~F.col("base_failed") & F.col("__by").isNull()).alias("kept"))
 
 
-def filter_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 200, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with all their columns. Measures are made one rule at a
-    time, in the cascade's order, each filter over what the earlier ones left."""
-    df, names = docs, docs.columns
-    for e in estimate(docs, rules, sample_rows, text_col=text_col):
-        kept = [f"__c{i}" for i in range(len(names))]
-        source = df.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)), F.col(text_col).alias("__text"))
-        df = measured(source, e.rule.measures, "__text", kept).where(~F.coalesce(F.expr(e.rule.rejects), F.lit(False))).select(*(F.col(k).alias(c) for c, k in zip(names, kept, strict=True)))
-    return df
+def filter_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 200, text_col: str = "text", order: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with all their columns, by the same cascade."""
+    order = order or [e.rule for e in estimate(docs, rules, sample_rows, text_col=text_col)]
+    df, kept = _source(docs, text_col, docs.columns)
+    return _cascade(_made(df, {"text"}), order, {"text"}).where("__by IS NULL").select(*kept)
