@@ -196,7 +196,7 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         first = tuple(c[0].as_py() for c in columns)
         new[0] = bool(held) and first != last
         for c in columns:
-            values = pa.compute.fill_null(c, 0).to_numpy(zero_copy_only=False)
+            values = (pa.compute.fill_null(c, "" if pa.types.is_string(c.type) else 0) if c.null_count else c).to_numpy(zero_copy_only=False)
             new[1:] |= values[1:] != values[:-1]
             if c.null_count:
                 null = c.is_null().to_numpy(zero_copy_only=False)
