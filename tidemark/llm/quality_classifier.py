@@ -1,12 +1,13 @@
 """Quality classification by naive Bayes support vectors: n-gram indicators are scaled by class log-count
 ratios, and a linear hinge-loss model is fitted to them by dual coordinate descent.
 
-The n-grams are single words and pairs of words, and of word shapes (case, digits, symbols, last
-character); further indicators say which tenths a few shares of the text reach (repeated triples of words,
-distinct words, capitals, symbols) and how long it is. All are hashed to buckets.
+The n-grams are single words and pairs of words, pairs of word shapes (case, digits, symbols, last
+character), and runs of eight marks that say of each word triple whether the text held it before. All are
+hashed to buckets.
 
 Class counts, and so the ratios, cover all labelled training texts. The support vector model is fitted on
-the driver to a bounded sample of them (``sample_docs``), taken in the order of a hash of their ids.
+the driver to a bounded sample of them (``sample_docs``), taken in the order of a hash of their ids; rows
+beyond that number are left out even if they share an id.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ _SYMBOL[33:127] = 1
 _SYMBOL -= _UPPER + _LOWER + _DIGIT
 
 
-def _shapes(data: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shape of each word, is in capitals, has two symbols or more)"""
+def _shapes(data: np.ndarray, w: Words) -> np.ndarray:
+    """The shape of each word."""
 
     def held(table: np.ndarray) -> np.ndarray:
         total = np.zeros(len(data) + 1, np.int64)
@@ -46,36 +47,40 @@ def _shapes(data: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndar
     last = data[w.end - 1].astype(np.int64) if len(w.end) else np.zeros(0, np.int64)
     last = np.where(_SYMBOL[last] > 0, last, 0)
     shape = np.minimum(upper, 3) | np.minimum(lower, 1) << 2 | np.minimum(digit, 1) << 3 | np.minimum(symbol, 3) << 4 | last << 6
-    return mix(shape.astype(np.uint64) + np.uint64(1)), (upper >= 2) & (lower == 0), symbol >= 2
+    return mix(shape.astype(np.uint64) + np.uint64(1))
 
 
-def _tenths(name: int, share: float) -> list[int]:
-    """An indicator for each tenth that a share reaches."""
-    return [name * 64 + k for k in range(int(share * 10) + 1)]
+#: Marks of one run.
+MARKS = 8
+
+
+def _again(triples: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of each value whether an earlier place between the same two ``bounds`` holds it."""
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((triples, text))  # stable: of equal values the first place comes first
+    t, x = text[order], triples[order]
+    same = np.append(False, (t[1:] == t[:-1]) & (x[1:] == x[:-1])) if len(order) else np.zeros(0, bool)
+    out = np.empty(len(order), bool)
+    out[order] = same
+    return out
 
 
 def indicators(column: pa.Array) -> Iterator[np.ndarray]:
     """The distinct buckets of each whole text (null: empty), sorted."""
     data, offsets = text_buffers(column)
     top = np.uint64(BUCKETS - 1)
+
+    def runs(values: np.ndarray, k: int) -> np.ndarray:
+        return (runs_hash(values, k) & top).astype(np.int32)
+
     for a, b in slices(offsets):
         w = Words(data, offsets[a : b + 1], lower=True)
-        raw = data[offsets[a] : offsets[b]]
-        shape, capital, symbol = _shapes(raw, w)
-        one = (mix(w.hashes) & top).astype(np.int32)
-        two = (runs_hash(w.hashes, 2) & top).astype(np.int32)
-        form = (shape & top).astype(np.int32)
-        forms = (runs_hash(shape, 2) & top).astype(np.int32)
-        three = runs_hash(w.hashes, 3)
+        shape = _shapes(data[offsets[a] : offsets[b]], w)
+        three = np.append(runs_hash(w.hashes, 3), np.zeros(min(2, len(w.hashes)), np.uint64))
+        marks = mix(_again(three, w.first).astype(np.uint64) + np.uint64(77))
+        kinds = ((runs(w.hashes, 1), 1), (runs(w.hashes, 2), 2), (runs(shape, 1), 1), (runs(shape, 2), 2), (runs(marks, MARKS), MARKS + 2))
         for lo, hi in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
-            n = hi - lo
-            marks = _tenths(1, min(n, 1023).bit_length() / 10)
-            if n:
-                triples = three[lo : hi - 2] if n > 2 else three[:0]
-                marks += _tenths(2, 1 - len(np.unique(triples)) / len(triples) if len(triples) else 0.0)
-                marks += _tenths(3, len(np.unique(one[lo:hi])) / n) + _tenths(4, capital[lo:hi].mean()) + _tenths(5, symbol[lo:hi].mean())
-            extra = (mix(np.array(marks, np.uint64)) & top).astype(np.int32)
-            yield np.unique(np.concatenate([one[lo:hi], two[lo : hi - 1] if n > 1 else two[:0], form[lo:hi], forms[lo : hi - 1] if n > 1 else forms[:0], extra]))
+            yield np.unique(np.concatenate([x[lo : max(lo, hi - k + 1)] for x, k in kinds]))
 
 
 def dual_coordinate_descent(examples: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray, passes: int = PASSES, tolerance: float = 0.01) -> np.ndarray:
@@ -135,6 +140,12 @@ class QualityModel:
         return float(1 / (1 + np.exp(-np.clip(self.a * margin + self.b, -35, 35))))
 
 
+def log_count_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log of each indicator's smoothed share among those of label 1 over that of label 0."""
+    p, q = counts[1] + 1, counts[0] + 1
+    return np.log(p / p.sum()) - np.log(q / q.sum())
+
+
 def _scaled(at: np.ndarray, ratio: np.ndarray) -> np.ndarray:
     r = ratio[at]
     return r / max(float(np.sqrt(r @ r)), 1e-9)
@@ -143,7 +154,8 @@ def _scaled(at: np.ndarray, ratio: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "quality", id_col: str = "doc_id", rows: Column | None = None, sample_docs: int = SAMPLE_DOCS) -> QualityModel:
     """A model of ``labels`` (id, 0 or 1) joined to ``docs``; ``rows``, over the id, says which ids may be
     learned from. Null labels, null ids and labels without a document teach nothing. With no row of one
-    class every score is that of the class counts."""
+    class every score is the smoothed share of label 1; a fifth of the sample, which the descent does not
+    see, sets the scale of the scores."""
     keep = F.lit(True) if rows is None else rows
     known = labels.where(keep).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)")
     h = F.xxhash64(F.col("__id").cast("string"))
@@ -153,49 +165,50 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
     known = known.withColumn("h", h).withColumn("sampled", F.col("h") <= last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
+        counts, n, rows = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64), []
         for batch in batches:
-            rows = []
-            for at, label, sampled, h in zip(indicators(batch.column(0)), *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+            for at, label, sampled, h, crc in zip(indicators(batch.column(0)), *(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
                 counts[label, at] += 1
                 n[label] += 1
                 if sampled:
-                    rows.append((None, None, None, label, at, h))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    rows.append((h, label, crc, at))
+            if len(rows) > 2 * sample_docs:  # ids may repeat
+                rows = sorted(rows, key=lambda r: r[:3])[:sample_docs]
+        rows = sorted(rows, key=lambda r: r[:3])[:sample_docs]
+        if rows:
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(rows), f.type) for f in list(schema)[:3]), *(pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(schema)[3:], strict=True))], schema=schema)
         some = np.append(np.flatnonzero(counts.sum(0)), -1)
         low, high = np.append(counts[0], n[0])[some], np.append(counts[1], n[1])[some]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(low), pa.array(high), *(pa.nulls(len(some), f.type) for f in list(schema)[3:])], schema=schema)
 
-    schema = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32())), ("h", pa.int64())])
+    schema = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("h", pa.int64()), ("label", pa.int32()), ("crc", pa.int64()), ("at", pa.list_(pa.int32()))])
     # both sides are always shuffled by id: a broadcast of the labels would have no size bound
-    joined = docs.where(keep).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known.hint("merge"), "__id").select("text", "label", "sampled", "h")
-    made = stored(joined.mapInArrow(run, "bucket long, low long, high long, label int, at array<int>, h long"), "quality-training")
-    counts = np.zeros((2, BUCKETS))
-    found = made.where("bucket >= 0").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
-    at = found.column(0).to_numpy()
-    counts[0, at], counts[1, at] = found.column(1).to_numpy(), found.column(2).to_numpy()
-    p, q = counts[1] + 1, counts[0] + 1
-    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    sample = made.where("label IS NOT NULL").select("label", "at", "h").toArrow()
-    rank = np.lexsort((sample.column(0).to_numpy(), sample.column(2).to_numpy()))  # the same model from any order of rows
-    y = np.where(sample.column(0).to_numpy() > 0, 1.0, -1.0)[rank]
-    examples = [(at, _scaled(at, ratio)) for bags in (list_rows(sample.column(1)),) for at in map(bags.__getitem__, rank)]
+    joined = docs.where(keep).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known.hint("merge"), "__id").select("text", "label", "sampled", "h", F.coalesce(F.crc32("text"), F.lit(-1)).alias("crc"))
+    made = stored(joined.mapInArrow(run, "bucket long, low long, high long, h long, label int, crc long, at array<int>"), "quality-training")
+    counts, classes = np.zeros((2, BUCKETS)), np.zeros(2)
+    found = made.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
+    at, both = found.column(0).to_numpy(), np.stack([found.column(1).to_numpy(), found.column(2).to_numpy()])
+    counts[:, at[at >= 0]], classes[:] = both[:, at >= 0], both[:, at < 0].sum(1)
+    if not classes.all():
+        return QualityModel(np.zeros(BUCKETS), np.zeros(BUCKETS), float(np.log((classes[1] + 1) / (classes[0] + 1))), 1.0, 0.0)
+    ratio = log_count_ratios(counts)
+    sample = made.where("label IS NOT NULL").select("h", "label", "crc", "at").orderBy("h", "label", "crc").limit(sample_docs).toArrow()
+    y = np.where(sample.column(1).to_numpy() > 0, 1.0, -1.0)
+    examples = [(at, _scaled(at, ratio)) for at in list_rows(sample.column(3))]
     order = np.random.default_rng(5).permutation(len(y))
     held, used = order[: len(y) // 5], order[len(y) // 5 :]
     share = {s: max(1, int((y[used] == s).sum())) for s in (-1.0, 1.0)}
     cost = np.array([COST * len(used) / (2 * share[s]) for s in y[used]])
     w = dual_coordinate_descent([examples[i] for i in used], y[used], cost)
-    judged = held if len(held) > 20 else order
-    margins = np.array([x @ w[at] + w[-1] for at, x in (examples[i] for i in judged)])
-    a, b = sigmoid_scale(margins, y[judged] > 0)
+    margins = np.array([x @ w[at] + w[-1] for at, x in (examples[i] for i in held)])
+    a, b = sigmoid_scale(margins, y[held] > 0)
     return QualityModel(ratio, w[:-1], float(w[-1]), a, b)
 
 
 def classify(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, score (likelihood of label 1) and predicted (1 if score >= 0.5) for every whole text.
 
-    Null and empty texts are scored by their length alone; rows are judged one by one, so null ids, ties
+    Null and empty texts have no n-gram: they are scored by the model's bias; rows are judged one by one, so null ids, ties
     and repeats are kept as they are; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
