@@ -2,7 +2,8 @@
 with follow-the-regularised-leader and elastic-net penalties, then calibrated by a temperature.
 
 Document frequencies are counted over all training texts. The regression itself is fitted on the driver
-to a bounded sample of labelled texts (``sample_docs``), taken in the order of a hash of their ids.
+to a bounded sample of labelled texts (``sample_docs``), taken in the order of a hash of their ids; rows
+beyond that number are left out even if they share an id.
 """
 
 from __future__ import annotations
@@ -95,25 +96,24 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[int, np.ndarra
     return total, out
 
 
-def training_vectors(docs: DataFrame, text_col: str, label_col: str, order: Column) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(label, buckets, counts) of a bounded sample that has been chosen already, sorted by ``order``."""
+def training_vectors(docs: DataFrame, text_col: str, label_col: str, order: Column, most: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(label, buckets, counts) of the ``most`` first rows in the order of ``order``, label and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, label, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for text, label, h, crc in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if has_letter(text):
                     total = _counts(text)
                     some = np.flatnonzero(total)
-                    rows.append((label, some, total[some], h))
+                    rows.append((label, some, total[some], h, crc))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()), strict=True)], ["label", "buckets", "counts", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()), strict=True)], ["label", "buckets", "counts", "h", "crc"])
 
-    source = docs.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), order.alias("h"))
-    rows = source.mapInArrow(run, "label string, buckets array<int>, counts array<long>, h long").toArrow()
-    found = list(zip(rows.column(3).to_pylist(), rows.column(0).to_pylist(), list_rows(rows.column(1)), list_rows(rows.column(2)), strict=True))
-    found.sort(key=lambda r: (r[0], r[1], len(r[2])))  # the same model from any order of rows
-    return [(a, b, c.astype(np.float64)) for _, a, b, c in found]
+    source = docs.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), order.alias("h"), F.crc32(text_col).alias("crc"))
+    made = source.mapInArrow(run, "label string, buckets array<int>, counts array<long>, h long, crc long")
+    rows = made.orderBy("h", "label", "crc").limit(most).toArrow()
+    return list(zip(rows.column(0).to_pylist(), list_rows(rows.column(1)), [c.astype(np.float64) for c in list_rows(rows.column(2))], strict=True))
 
 
 @dataclass
@@ -192,7 +192,7 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
     order = F.xxhash64(F.col(id_col).cast("string"))
     # the sample's rows are those up to the hash of its last id: only hashes are sorted
     last = docs.select(order.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
-    rows = training_vectors(docs.where(order <= last), text_col, label_col, order)
+    rows = training_vectors(docs.where(order <= last), text_col, label_col, order, sample_docs)
     labels = tuple(sorted({r[0] for r in rows}))
     code = {x: i for i, x in enumerate(labels)}
     idf = np.log((1.0 + total) / (1.0 + frequency)) + 1.0
