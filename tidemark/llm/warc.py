@@ -37,15 +37,21 @@ _INDEX = "array<struct<record_id:string,page_id:long,frame:int,offset:long,lengt
 _FIELDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
+def record_id(page_id: int | None, digest: str) -> str:
+    """Rows that repeat a page id (or have none) are told apart by their payload's digest; only rows that
+    repeat both, which are the same record, share it."""
+    return f"{_URN}{'none' if page_id is None else page_id}:{digest}"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes | None, size: int, digest: str, refers_to: int | None, date: str) -> bytes:
     """The bytes of one record. A revisit (payload None) keeps the HTTP headers of the full response."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode() + (payload or b"")
-    head = ["WARC/1.1", f"WARC-Type: {'response' if payload is not None else 'revisit'}", f"WARC-Record-ID: <{_URN}{'' if page_id is None else page_id}>", f"WARC-Date: {date}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if payload is not None else 'revisit'}", f"WARC-Record-ID: <{record_id(page_id, digest)}>", f"WARC-Date: {date}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe=''.join(map(chr, range(33, 127))))}")
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response"]
     if payload is None:
-        head += [f"WARC-Refers-To: <{_URN}{'' if refers_to is None else refers_to}>", f"WARC-Profile: {PROFILE}"]
+        head += [f"WARC-Refers-To: <{record_id(refers_to, digest)}>", f"WARC-Profile: {PROFILE}"]
     return "\r\n".join([*head, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -87,8 +93,8 @@ class Bundle:
     def __init__(self, level: int):
         self.zip, self.out, self.sizes, self.index, self.raw = zstandard.ZstdCompressor(level=level), bytearray(), [], [], bytearray()
 
-    def add(self, page_id: int | None, data: bytes) -> None:
-        self.index.append({"record_id": f"{_URN}{'' if page_id is None else page_id}", "page_id": page_id, "frame": len(self.sizes), "offset": len(self.raw), "length": len(data)})
+    def add(self, page_id: int | None, digest: str, data: bytes) -> None:
+        self.index.append({"record_id": record_id(page_id, digest), "page_id": page_id, "frame": len(self.sizes), "offset": len(self.raw), "length": len(data)})
         self.raw += data
         if len(self.raw) >= FRAME_BYTES:
             self.close_frame()
@@ -137,7 +143,8 @@ def write_archive(pages: DataFrame, path: str, min_payload_bytes: int = 0, level
 
         for batch in batches:
             for page, url, sha, size, payload, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                bundle.add(page, record(page, url, payload, size, base32(sha), refers, date))
+                digest = base32(sha)
+                bundle.add(page, digest, record(page, url, payload, size, digest, refers, date))
                 if len(bundle.out) >= BUNDLE_BYTES:
                     yield closed()
                     bundle, made = Bundle(level), made + 1
@@ -155,7 +162,7 @@ def _row(head: dict[str, str], block: bytes, with_payload: bool) -> tuple:
     digest, kind = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"]
     if kind == "response" and (len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
         raise ValueError(f"{head['WARC-Record-ID']} does not match its digest")
-    number = lambda name: int(x) if (x := head.get(name, "").strip("<>").removeprefix(_URN)) else None
+    number = lambda name: int(x) if (x := head.get(name, "").strip("<>").removeprefix(_URN).split(":")[0]).lstrip("-").isdigit() else None
     return number("WARC-Record-ID"), head.get("WARC-Target-URI"), kind, size, digest, number("WARC-Refers-To"), payload if with_payload and kind == "response" else None
 
 
