@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import release, stored
 
 
 #: Up to so many edges (a few MB) the joins' other side is broadcast and results take few files.
@@ -60,6 +60,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
     rounds = _Rounds(edges)
     while not _are_stars(edges):
-        edges = rounds.kept(rounds.small_star(rounds.kept(rounds.large_star(edges))))
+        large = rounds.kept(rounds.large_star(edges))
+        release(edges)
+        edges = rounds.kept(rounds.small_star(large))
+        release(large)
     stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     return stars.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .shared import LOWER, SPACE, slices, stored, text_buffers, word_bounds
 
-#: Pieces of one packing shard, which one task packs; more input means more shards.
+#: Pieces of one packing shard, which one task packs, on average; more input means more shards.
 SHARD_PIECES = 65_536
 #: A worker remembers the ids of the parts of words that it met last: at least so many, at most twice as
 #: many, none longer than so many bytes (speed only).
@@ -260,8 +260,9 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, window: int, end_id: int
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
-    Pieces are dealt evenly to shards of at most ``SHARD_PIECES``, and each shard is packed on its own,
-    so no task sees more than that; the shard is the high part of ``sequence_id``. A null or empty text
+    Pieces are dealt in turn to so many shards that ``SHARD_PIECES`` come to each, and each shard is packed on
+    its own; dealing starts anew in each partition, so a shard may hold as many pieces more as there are
+    partitions. The shard is the high part of ``sequence_id``. A null or empty text
     has the end id alone; null ids and repeated rows are packed like any other row; an empty table
     gives an empty result; other columns are not read.
     """

@@ -1,64 +1,19 @@
-"""What several operators share: the scratch folder, small written tables, and vectorised word hashing.
-
-Intermediate tables go to the folder that the cluster names in ``spark.checkpoint.dir``; it is set
-here only where the session has none (tests, notebooks).
-"""
+"""What several operators share: written intermediate tables, vectorised word hashing, sorted groups."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.scratch import clear_scratch, delete_path, release, scratch_path, scratch_root, stored  # noqa: F401
+
 #: Texts are hashed in slices of about so many bytes, which bounds the temporary arrays of a task.
 SLICE_BYTES = 1 << 20
-_roots: dict[str, str] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The session's own folder under ``spark.checkpoint.dir``; it is removed when the driver ends."""
-    app = spark.sparkContext.applicationId
-    if app not in _roots:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = tempfile.mkdtemp(prefix="tidemark-")
-            spark.sparkContext.setCheckpointDir(base)
-        _roots[app] = f"{base.rstrip('/')}/tidemark-{app}"
-        atexit.register(clear_scratch, spark)
-    return _roots[app]
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the session's scratch tables. Call it only when no result that reads them is still needed."""
-    root = _roots.pop(spark.sparkContext.applicationId, None) if spark.sparkContext._jsc else None
-    if root:
-        delete_path(spark, root)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the scratch folder and read it back: later reads do not recompute it, and no
-    executor's loss can take it away."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def crc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null ids give bucket 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
