@@ -1,4 +1,6 @@
+import random
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -86,14 +88,52 @@ def test_sentencepiece(spark, docs, clashing):
     assert sentencepiece_fst.encode(docs.limit(0), PIECE).collect() == []
 
 
-def test_unigram_paths_are_shortest():
-    fst = sentencepiece_fst.transducer(PIECE)
-    uni = object.__new__(sentencepiece_fst.Transducer)
-    uni.__dict__ |= fst.__dict__ | {"bpe": False, "pairs": {}, "known": {}}
-    uni.arcs = {"a": (1.0, 5), "b": (1.0, 6), "ab": (1.5, 7), "abb": (4.0, 8)}
-    uni.starts = {"a": 1.0, "b": 1.0, "ab": 1.5, "abb": 4.0}
-    uni.unknown_weight = 14.0
-    assert uni._path("abb") == ["ab", "b"] and uni._path("axb") == ["a", "x", "b"]
+def _message(*fields):
+    """A protocol buffer message of (number, value): int, float or bytes."""
+
+    def varint(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    out = b""
+    for number, value in fields:
+        if isinstance(value, float):
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        elif isinstance(value, int):
+            out += varint(number << 3) + varint(value)
+        else:
+            out += varint(number << 3 | 2) + varint(len(value)) + value
+    return out
+
+
+def _model(kind, byte_fallback, rule):
+    """A hand-made .model: no training, pieces and scores as listed."""
+    special = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256) if byte_fallback]
+    # of a BPE model the score is minus the rank of the merge
+    pieces = [("\u2581", -2.5), ("a", -3.0), ("b", -3.25), ("ab", -4.0), ("abb", -9.0), ("\u2581a", -4.5), ("bab", -5.0), ("c", -3.5), ("\u2581ab", -6.0), ("1", -4.0), ("fi", -4.25), ("f", -5.0), ("i", -5.25), ("\u2581\u2581", -3.75), ("ca", -6.5)]
+    rows = [(1, _message((1, p.encode()), (2, float(s)), *(((3, k),) if k else ()))) for p, s, k in [*special, *((p, s, 0) for p, s in pieces)]]
+    spec = sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()
+    normaliser = dict(sentencepiece_fst._fields(spec))[3]
+    return _message(*rows, (2, _message((3, kind), (35, int(byte_fallback)))), (3, normaliser))
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+@pytest.mark.parametrize("byte_fallback", [False, True])
+@pytest.mark.parametrize("rule", ["identity", "nmt_nfkc", "nfkc_cf"])
+def test_models_of_other_kinds_equal_the_library(tmp_path, kind, byte_fallback, rule):
+    path = tmp_path / "x.model"
+    path.write_bytes(_model(kind, byte_fallback, rule))
+    fst, library = sentencepiece_fst.Transducer(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+    normaliser = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    rng = random.Random(3)
+    odd = [*"aaabbbcfi1  x", "\ufb01", "\u3000", "\uff21", "\u2460", "\u00a8", "e\u0301", "\t", "\n", "\u00ad", "\uac00", "\u1100\u1161", "\u0130", "\u2581", "A", "\u00df"]
+    for _ in range(400):
+        text = "".join(rng.choice(odd) for _ in range(rng.randrange(14)))
+        assert fst.normalised(text).replace(" ", "\u2581") == normaliser.normalize(text).removeprefix("\u2581" if fst.dummy_prefix else "")
+        assert fst.encode(text) == library.encode(text), text
 
 
 def test_packing(spark, docs, clashing):

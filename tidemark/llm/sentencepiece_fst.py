@@ -1,8 +1,11 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-Normaliser, pieces and byte fallback are compiled into one transducer whose arcs read a piece's characters
-and write its id. Composed with an input it is a lattice over the input's positions; the encoding is its
-shortest path in the tropical semiring (weights add along a path, the least total wins).
+Normaliser, pieces and byte fallback are compiled into states and arcs that read one character each. The
+normaliser's arcs come from the model's character map; it reads the longest key that it can, and writes its
+replacement. The pieces' arcs form a tree, whose final states write a piece's id (or, for a character that is
+no piece, its bytes' ids) and lead back to the start. Composed with an input, normaliser first, this is a
+lattice over positions; the encoding is its shortest path in the tropical semiring (weights add along a
+path, the least total wins).
 
 - Unigram models: an arc weighs minus the piece's log probability.
 - BPE models: an arc also remembers the piece before it and weighs 0 if the two pieces may stand side by
@@ -16,10 +19,12 @@ parts are remembered.
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +66,39 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+def character_map(blob: bytes) -> dict:
+    """A model's character map as a tree of characters; where a key ends, the state's arc "" holds its
+    replacement. The public form is the size of a double array of 32-bit units over the keys' bytes, the
+    array (a unit has a label, whether a value follows, and the exclusive-or of its children's places), and
+    the replacements, each ended by a zero byte."""
+    root: dict = {}
+    if not blob:
+        return root
+    (size,) = struct.unpack_from("<I", blob)
+    units, texts = np.frombuffer(blob, "<u4", size // 4, 4), blob[4 + size :]
+    labels, bytes_ = units & np.uint32(0x800000FF), np.arange(256, dtype=np.int64)
+
+    def children(place: int) -> int:
+        unit = int(units[place])
+        return place ^ ((unit >> 10) << ((unit & (1 << 9)) >> 6))
+
+    todo = [(b"", children(0))]
+    while todo:
+        key, base = todo.pop()
+        places = base ^ bytes_[1:]
+        places = places[places < len(units)]
+        for place in places[labels[places] == (base ^ places)].tolist():
+            longer, below = key + bytes([base ^ place]), children(place)
+            if units[place] >> np.uint32(8) & np.uint32(1):
+                at = int(units[below]) & 0x7FFFFFFF
+                node = root
+                for c in longer.decode():
+                    node = node.setdefault(c, {})
+                node[""] = texts[at : texts.index(b"\0", at)].decode()
+            todo.append((longer, below))
+    return root
+
+
 class Transducer:
     """A compiled .model file."""
 
@@ -85,20 +123,23 @@ class Transducer:
             elif number == 3:
                 norm = dict(_fields(value))
                 charsmap, self.dummy_prefix, self.trim, escape = norm.get(2, b""), bool(norm.get(3, 1)), bool(norm.get(4, 1)), bool(norm.get(5, 1))
-        if charsmap or not escape or kind_of_model not in (UNIGRAM, BPE) or {USER_DEFINED, UNUSED} & set(self.kinds):
-            raise ValueError(f"{path}: only identity normalisers and plain unigram or BPE pieces are compiled")
+        if not escape or kind_of_model not in (UNIGRAM, BPE) or {USER_DEFINED, UNUSED} & set(self.kinds):
+            raise ValueError(f"{path}: only plain unigram or BPE pieces with visible spaces are compiled")
+        self.map = character_map(charsmap)
+        self.mapped = re.compile("[" + "".join(map(re.escape, self.map)) + "]") if self.map else None
         self.bpe = kind_of_model == BPE
         self.unknown = self.kinds.index(UNKNOWN)
         #: text of a piece -> (weight, id); the arcs of the transducer
         self.arcs = {p: (-s, i) for i, (p, s, k) in enumerate(zip(self.pieces, scores, self.kinds, strict=True)) if k == NORMAL}
         if any(SPACE in p.lstrip(SPACE) for p in self.arcs):
             raise ValueError(f"{path}: a piece crosses from a non-space to a space")
-        #: every beginning of a piece -> weight of its arc, infinite if it is no piece itself
-        self.starts: dict[str, float] = {}
-        for p in self.arcs:
-            for k in range(1, len(p)):
-                self.starts.setdefault(p[:k], INFINITE)
-        self.starts |= {p: w for p, (w, _) in self.arcs.items()}
+        #: the tree: a state is its arcs by character; the arc "" of a final one holds the weight and the piece
+        self.root: dict = {}
+        for p, (w, _) in self.arcs.items():
+            node = self.root
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = (w, p)
         self.inside = {p[k - 1 : k + 1] for p in self.arcs for k in range(1, len(p))}
         self.unknown_weight = max((w for w, _ in self.arcs.values()), default=0.0) + UNKNOWN_PENALTY
         byte_of = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == BYTE}
@@ -129,9 +170,34 @@ class Transducer:
 
     # --- composition with an input, and its shortest path ---
 
+    def normalised(self, text: str) -> str:
+        """What the normaliser writes for a text."""
+        if self.mapped is not None:
+            out, at, n = [], 0, len(text)
+            while at < n:
+                found = self.mapped.search(text, at)
+                if found is None:
+                    break
+                begin = end = found.start()
+                out.append(text[at:begin])
+                node, k, written = self.map, begin, None
+                while k < n and (node := node.get(text[k])) is not None:
+                    k += 1
+                    if "" in node:
+                        end, written = k, node[""]
+                out.append(text[begin] if written is None else written)
+                at = max(end, begin + 1)
+            out.append(text[at:])
+            text = "".join(out)
+        if self.trim:
+            text = text.lstrip(" ").rstrip(" " + SPACE)  # at the end, visible spaces go as well
+            while "  " in text:
+                text = text.replace("  ", " ")
+        return text
+
     def _path(self, part: str) -> list[str]:
         """The pieces on the shortest path through the lattice of ``part``."""
-        n, starts, bpe = len(part), self.starts, self.bpe
+        n, root, bpe, unknown = len(part), self.root, self.bpe, self.unknown_weight
         best: list[float] = [0.0] + [INFINITE] * n
         last = [""] * (n + 1)
         for i in range(n):
@@ -139,15 +205,18 @@ class Transducer:
             fits = self.pairs.get(left)
             if fits is None:
                 fits = self.pairs[left] = {}
-            for j in range(i + 1, n + 1):
-                piece = part[i:j]
-                weight = starts.get(piece)
-                if weight is None:  # no piece begins so; a character that is no piece has an arc of its own
+            node, j = root, i
+            while j < n:
+                node = node.get(part[j])
+                j += 1
+                final = node.get("") if node is not None else None
+                if final is None:
                     if j > i + 1:
-                        break
-                    weight = self.unknown_weight
-                elif weight == INFINITE and j > i + 1:
-                    continue
+                        if node is None:
+                            break
+                        continue
+                    final = unknown, part[i]  # a character that is no piece has a final state of its own
+                weight, piece = final
                 if bpe:
                     if best[j] == INFINITE:
                         fit = fits.get(piece)
@@ -156,10 +225,10 @@ class Transducer:
                             self.n_pairs += 1
                         if fit:
                             best[j], last[j] = here, piece
-                else:
-                    weight = here + (self.unknown_weight if weight == INFINITE else weight)
-                    if weight < best[j]:
-                        best[j], last[j] = weight, piece
+                elif here + weight < best[j]:
+                    best[j], last[j] = here + weight, piece
+                if node is None:
+                    break
         if self.n_pairs > REMEMBERED:
             self.pairs, self.n_pairs = {}, 0
         out, j = [], n
@@ -202,10 +271,7 @@ class Transducer:
         return ids
 
     def encode(self, text: str) -> list[int]:
-        if self.trim:
-            text = " ".join(text.split(" ")).strip(" ")
-            while "  " in text:
-                text = text.replace("  ", " ")
+        text = self.normalised(text)
         if not text:
             return []
         text = text.replace(SPACE, " ")  # a visible space in the input is the same symbol
