@@ -1,13 +1,14 @@
 import hashlib
 import zipfile
 
+import pyarrow.parquet as pq
 import pytest
 from market_helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.schemas import DATA_TYPES
-from tidemark.sources import landed, tables
+from tidemark.sources import landed, scratch, tables
 from tidemark.streaming import arrival
 
 TRADES = DATA_TYPES["agg_trades"]
@@ -165,3 +166,113 @@ def test_arriving_files(spark, tmp_path):
     static = landed.csv_lines(spark, land).where(F.col("name").contains("-15"))
     arrival.ingest_trades(static, table, "UsdFutures")  # replay
     assert rows(tables.read(spark, table, TRADES).select("agg_trade_id", "transact_time")) == want
+
+
+def _files(path):
+    return {str(p): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_upsert_leaves_other_partitions_alone_and_keeps_the_layout(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "LARGE_GROUP_ROWS", 100)
+    path = tmp_path / "t"
+    many = [("A", i, 1.0, JAN + (7919 * i) % 997) for i in range(600)]
+    tables.replace(_stored(spark, [*many, ("A", 9000, 1.0, FEB), ("B", 1, 1.0, JAN)]), str(path), TRADES)
+    before = _files(path)
+    tables.upsert_table(spark, _stored(spark, [("A", 5, 7.0, JAN + 3), ("A", 9001, 7.0, JAN + 4)]), str(path), TRADES)
+    after = _files(path)
+    assert {f for f in before if "2024-02" in f or "symbol=B" in f} <= {f for f, t in after.items() if before.get(f) == t}
+    changed = [f for f in after if f not in before]
+    assert changed and all("symbol=A/month=2024-01" in f for f in changed)
+    for f in changed:
+        meta, times = pq.ParquetFile(f).metadata, pq.read_table(f, columns=["transact_time"], partitioning=None).column(0).to_pylist()
+        assert all(meta.row_group(k).num_rows <= 100 for k in range(meta.num_row_groups)) and times == sorted(times)
+    assert tables.read(spark, str(path), TRADES).count() == 603
+    plan = tables._within(tables.read(spark, str(path), TRADES), {("Spot", "A", "2024-01")})._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "month" in filters and "symbol" in filters
+    assert not [p for p in tmp_path.iterdir() if p.name != "t"]
+
+
+def test_a_busy_partition_is_split(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        tables.replace(_stored(spark, [("A", i, float(i * 7919 % 4999), JAN + i) for i in range(5000)]), str(tmp_path / "t"), TRADES)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(_files(tmp_path / "t")) > 1
+
+
+def test_a_failed_swap_brings_the_old_table_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.replace(_stored(spark, [("A", 1, 1.0, JAN)]), path, TRADES)
+    renamed = tables._renamed
+
+    def fail(session, source, target):
+        if "__new-" in source:
+            raise OSError("no")
+        renamed(session, source, target)
+
+    monkeypatch.setattr(tables, "_renamed", fail)
+    with pytest.raises(OSError):
+        tables.replace(_stored(spark, [("A", 2, 1.0, JAN)]), path, TRADES)
+    assert [r.agg_trade_id for r in tables.read(spark, path, TRADES).collect()] == [1] and [p.name for p in tmp_path.iterdir()] == ["t"]
+    # a crash between the two renames
+    renamed(spark, path, f"{path}__old-x")
+    assert [r.agg_trade_id for r in tables.read(spark, path, TRADES).collect()] == [1]
+
+
+def test_moves_are_carried_on_after_a_crash(spark, tmp_path, monkeypatch):
+    path, move = str(tmp_path / "t"), tables._move
+    tables.replace(_stored(spark, [("A", 1, 1.0, JAN), ("A", 2, 1.0, FEB), ("A", 3, 1.0, FEB + 1)]), path, TRADES)
+
+    def crash(session, staged, target):
+        raise OSError("crash")
+
+    monkeypatch.setattr(tables, "_move", crash)
+    with pytest.raises(OSError):
+        tables.upsert_table(spark, _stored(spark, [("A", 2, 5.0, JAN + 1), ("A", 3, 5.0, JAN + 2)]), path, TRADES)
+    monkeypatch.setattr(tables, "_move", move)
+    want = [(1, "2024-01"), (2, "2024-01"), (3, "2024-01")]  # February is empty, and gone
+    assert rows(tables.read(spark, path, TRADES).select("agg_trade_id", "month")) == want
+    tables.recover(spark, path)
+    assert rows(tables.read(spark, path, TRADES).select("agg_trade_id", "month")) == want and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_split_twice_and_odd_symbols(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(_stored(spark, [("A:B%", 1, 1.0, JAN), ("C", 1, 1.0, JAN)]), path, TRADES)
+    tables.upsert_table(spark, _stored(spark, [("A:B%", 1, 2.0, FEB)]), path, TRADES)
+    assert rows(tables.read(spark, path, TRADES).select("symbol", "price", "month")) == [("A:B%", 2.0, "2024-02"), ("C", 1.0, "2024-01")]
+    assert tables.drop_symbols(spark, spark.createDataFrame([("Spot", "a:b%")], "market string, symbol string"), path) == 1
+    spark.sql("CREATE DATABASE IF NOT EXISTS legacy")
+    for _ in range(2):
+        _stored(spark, [("x", 8, 1.0, FEB)]).drop("market", "symbol").write.mode("overwrite").saveAsTable("legacy.c")
+        tables.split_shared(spark, ["legacy.c"], "Spot", path, TRADES)
+        assert rows(tables.read(spark, path, TRADES).select("symbol", "agg_trade_id", "month")) == [("C", 8, "2024-02")]
+
+
+def test_scratch_folder(spark, monkeypatch):
+    kept = scratch.stored(spark.range(5).toDF("x"), "five")
+    path = kept.inputFiles()[0]
+    assert "tidemark-" in path and kept.count() == 5
+    scratch.release(kept, spark.range(1))
+    with pytest.raises(Exception):
+        spark.read.parquet(path.rsplit("/", 1)[0])
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://somewhere"
+
+            class _jsc:
+                sc = staticmethod(lambda: Cluster.Held)
+
+    class Held:
+        getCheckpointDir = staticmethod(lambda: Held)
+        isDefined = staticmethod(lambda: False)
+
+    Cluster.Held = Held
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch._base(Cluster)
