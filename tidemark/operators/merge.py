@@ -16,11 +16,13 @@ class DuplicateKeys(ValueError):
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each key that is last in ``order``. Partial maxima go into the shuffle, so a hot key
-    sends one row a task. Null keys form a key of their own."""
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*(F.col(f"`{c}`") for c in rest)), F.struct(*order)).alias("__row")
-    return df.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*(F.col(f"`{c}`") for c in df.columns))
+    """The row of each key that is last in ``order``, then in its other columns. Partial maxima go into the
+    shuffle, so a hot key sends one row a task. Null keys form a key of their own."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    named = {c: f"o{i}" for i, c in enumerate([*order, *rest])}
+    best = F.max(F.struct(*(F.col(f"`{c}`").alias(n) for c, n in named.items()))).alias("__row")
+    out = df.groupBy(*keys).agg(best)
+    return out.select(*(F.col(f"`{c}`") if c in keys else F.col(f"__row.{named[c]}").alias(c) for c in df.columns))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
