@@ -59,7 +59,8 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataF
 
 def append_import(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Import of a file without tail deletion: equal keys are replaced by the file's last row of them."""
-    return upsert(target, last_wins(incoming, keys, order).select(*target.columns), keys)
+    # distinct keys instead of the deduplicated rows: a hash aggregation without the other columns
+    return without_keys(target, incoming.select(*keys).distinct(), keys).unionByName(last_wins(incoming, keys, order).select(*target.columns))
 
 
 def replace_tail(target: DataFrame, incoming: DataFrame, groups: Sequence[str], keys: Sequence[str], time: str, order: Sequence[str]) -> DataFrame:
@@ -86,7 +87,7 @@ def replace_tails(target: DataFrame, incoming: DataFrame, groups: Sequence[str],
     later = Window.partitionBy(*groups).orderBy(file_seq).rowsBetween(1, Window.unboundedFollowing)
     cuts = firsts.select(*groups, file_seq, F.min("__min").over(later).alias("__from"))
     new = latest.join(cuts, [*groups, file_seq], "left").where(before_tail(F.col(time), F.col("__from")))
-    old = without_keys(target, latest, all_keys)
+    old = without_keys(target, incoming.select(*all_keys).distinct(), all_keys)
     old = old.join(firsts.groupBy(*groups).agg(F.min("__min").alias("__from")), list(groups), "left").where(before_tail(F.col(time), F.col("__from")))
     return old.select(*target.columns).unionByName(new.select(*target.columns))
 
