@@ -259,6 +259,14 @@ def test_scratch_folder(spark, monkeypatch):
     with pytest.raises(Exception):
         spark.read.parquet(path.rsplit("/", 1)[0])
 
+    def made():
+        inner.append(scratch.stored(spark.range(3).toDF("x"), "inner"))
+        return inner[0].withColumn("y", F.col("x") * 2)
+
+    inner = []
+    alone = scratch.stored_alone(made, "alone")
+    assert rows(alone) == [(0, 0), (1, 2), (2, 4)] and not tables.path_exists(spark, inner[0].inputFiles()[0])
+
     class Cluster:
         class conf:
             get = staticmethod(lambda key, default: default)

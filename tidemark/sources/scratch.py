@@ -9,12 +9,15 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _roots: dict[str, str] = {}
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Paths stored within calls of ``stored_alone`` that are under way, innermost last.
+_inner: list[list[str]] = []
 
 
 def _base(spark: SparkSession) -> str:
@@ -64,6 +67,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _paths[out] = path
+    if _inner:
+        _inner[-1].append(path)
+    return out
+
+
+def stored_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, written and read back; the tables that it has stored itself are then deleted."""
+    _inner.append([])
+    try:
+        out = stored(make(), name)
+    finally:
+        inner = _inner.pop()
+    for path in inner[:-1]:  # the last one is the result
+        delete_path(out.sparkSession, path)
+    if _inner:
+        _inner[-1].append(inner[-1])
     return out
 
 
