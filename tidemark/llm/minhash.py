@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import LOWER, SPACE, Words, mix, runs_hash, slices, sorted_groups, stored, text_buffers, word_bounds
+from .shared import LOWER, SPACE, Words, mix, runs_hash, slices, sorted_groups, stored, stored_alone, text_buffers, word_bounds
 
 #: Rows of one side of a comparison block.
 BLOCK = 512
@@ -315,5 +315,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose document is kept by ``near_duplicates``."""
-    gone = stored(near_duplicates(docs, shingle, percent, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("__gone")).distinct(), "minhash-gone")
+    gone = stored_alone(lambda: near_duplicates(docs, shingle, percent, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("__gone")).distinct(), "minhash-gone")
     return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")

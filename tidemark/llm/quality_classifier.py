@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, list_rows, mix, runs_hash, slices, stored, text_buffers
+from .shared import Words, list_rows, mix, release, runs_hash, slices, stored, text_buffers
 
 BUCKETS = 1 << 17
 #: Training texts that the support vector model is fitted to; a fifth of them sets the scale of its scores.
@@ -189,10 +189,11 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
     found = made.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).toArrow()
     at, both = found.column(0).to_numpy(), np.stack([found.column(1).to_numpy(), found.column(2).to_numpy()])
     counts[:, at[at >= 0]], classes[:] = both[:, at >= 0], both[:, at < 0].sum(1)
+    sample = made.where("label IS NOT NULL").select("h", "label", "crc", "at").orderBy("h", "label", "crc").limit(sample_docs).toArrow()
+    release(made)
     if not classes.all():
         return QualityModel(np.zeros(BUCKETS), np.zeros(BUCKETS), float(np.log((classes[1] + 1) / (classes[0] + 1))), 1.0, 0.0)
     ratio = log_count_ratios(counts)
-    sample = made.where("label IS NOT NULL").select("h", "label", "crc", "at").orderBy("h", "label", "crc").limit(sample_docs).toArrow()
     y = np.where(sample.column(1).to_numpy() > 0, 1.0, -1.0)
     examples = [(at, _scaled(at, ratio)) for at in list_rows(sample.column(3))]
     order = np.random.default_rng(5).permutation(len(y))
