@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, language_id, minhash, packing, quality_classifier, quality_rules, sentencepiece_fst, substring_dedup, token_counts, warc
+from . import embedding_dedup, importance_resampling, language_id, minhash, packing, quality_classifier, quality_rules, sentencepiece_fst, substring_dedup, token_counts, warc
 from .shared import crc_bucket, scratch_path
 
 
@@ -63,7 +63,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc)}
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc, op13_importance_resampling)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -122,4 +126,21 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM bits""",
+    "op13_importance_resampling": r"""
+WITH bits AS (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS t(b)),
+crc AS MATERIALIZED (SELECT list(v ORDER BY b) AS tab FROM bits),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, text, false AS target FROM documents UNION ALL SELECT -row_number() OVER (), NULL, text, true FROM benchmark),
+w AS MATERIALIZED (SELECT rid, target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+f AS MATERIALIZED (SELECT rid, target, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature FROM w),
+h AS (SELECT feature, hex(encode(feature)) AS x FROM (SELECT DISTINCT feature FROM f)),
+b AS MATERIALIZED (SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)), lambda c, y: xor(tab[(xor(c, y) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM h, crc),
+n AS (SELECT bucket, count(*) FILTER (WHERE NOT target) AS s, count(*) FILTER (WHERE target) AS t FROM f JOIN b USING (feature) GROUP BY bucket),
+a AS (SELECT sum(s) AS ss, sum(t) AS tt FROM n),
+g AS MATERIALIZED (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (ss + 10000)::DOUBLE / ((s + 1)::DOUBLE * (tt + 10000)::DOUBLE)))::BIGINT AS gain FROM n, a),
+m AS (SELECT rid, count(*) AS n_features, sum(gain)::BIGINT AS total FROM f JOIN b USING (feature) JOIN g USING (bucket) WHERE NOT target GROUP BY rid),
+e AS (SELECT rid, doc_id, coalesce(n_features, 0) AS n_features, coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+  ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM texts LEFT JOIN m USING (rid) WHERE NOT target),
+r AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score, n_features >= 39 AS fit FROM e),
+o AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY fit) AS n FROM r)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN fit AND place <= 25 * n // 100 THEN place END AS rank FROM o""",
 }
