@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, importance_resampling, language_id, minhash, packing, quality_classifier, quality_rules, sentencepiece_fst, substring_dedup, token_counts, warc
+from . import embedding_dedup, importance_resampling, language_id, minhash, packing, quality_classifier, quality_rules, secret_scan, sentencepiece_fst, substring_dedup, token_counts, warc
 from .shared import crc_bucket, scratch_path
 
 
@@ -63,11 +63,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc, op12_secret_scan, op13_importance_resampling)}
+
+_ASSIGN_SQL = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_KINDS_SQL = " UNION ALL ".join(
+    f"SELECT rid, {i} AS ord, '{kind}' AS kind, regexp_extract_all(text, '{pattern}') AS vals, string_split_regex(text, '{pattern}') AS gaps FROM d"
+    for i, (kind, pattern) in enumerate((("assign", _ASSIGN_SQL), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]+"), ("markov", "[A-Za-z0-9+/_=-]{16,}")))
+)
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -143,4 +153,28 @@ e AS (SELECT rid, doc_id, coalesce(n_features, 0) AS n_features, coalesce((total
 r AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score, n_features >= 39 AS fit FROM e),
 o AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY fit) AS n FROM r)
 SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN fit AND place <= 25 * n // 100 THEN place END AS rank FROM o""",
+    "op12_secret_scan": rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({_KINDS_SQL}),
+m AS (SELECT rid, ord, kind, i, vals[i] AS v, length(gaps[i]) + coalesce(length(vals[i - 1]), 0) AS step FROM (SELECT *, unnest(range(1, len(vals) + 1)) AS i FROM f)),
+p AS (SELECT rid, ord, kind, v, (sum(step) OVER (PARTITION BY rid, ord ORDER BY i))::BIGINT AS a FROM m),
+s AS MATERIALIZED (SELECT rid, ord, kind, a, a + length(v) AS z, CASE WHEN ord = 0 THEN regexp_extract(v, '{_ASSIGN_SQL}', 2) ELSE v END AS v FROM p
+  WHERE length(CASE WHEN ord = 0 THEN regexp_extract(v, '{_ASSIGN_SQL}', 2) ELSE v END) >= [6, 20, 24, 16][ord + 1]),
+base AS MATERIALIZED (SELECT * FROM s WHERE ord < 3),
+free AS MATERIALIZED (SELECT * FROM s WHERE ord = 3 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = s.rid AND b.a < s.z AND s.a < b.z)),
+x AS (SELECT sha256(range::VARCHAR) AS h, to_base64(unhex(sha256(range::VARCHAR))) AS e FROM range(2000)),
+learn AS (SELECT v, 1 AS label FROM base UNION ALL SELECT v, 0 FROM free UNION ALL SELECT unnest([h, e, upper(translate(e, '+/=', '')), lower(translate(e, '+/=', ''))]), 1 FROM x),
+c AS (SELECT label, list_transform(string_split(v, ''), lambda y: strpos('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-', y)) AS l FROM learn),
+t AS (SELECT label, unnest(list_zip(list_prepend(0, l), list_append(l, 0))) AS t FROM c),
+n AS (SELECT t[1] AS "from", t[2] AS "to", count(*) FILTER (WHERE label = 1) AS r, count(*) FILTER (WHERE label = 0) AS o FROM t GROUP BY ALL),
+cell AS (SELECT 69 * i + j AS id, i, coalesce(r, 0) AS r, coalesce(o, 0) AS o FROM range(69) AS q(i), range(69) AS w(j) LEFT JOIN n ON n."from" = i AND n."to" = j),
+g AS (SELECT list(floor(1000 * (ln((r + 1)::DOUBLE / (sr + 69)::DOUBLE) - ln((o + 1)::DOUBLE / (so + 69)::DOUBLE)))::BIGINT ORDER BY id) AS gains
+  FROM (SELECT *, sum(r) OVER (PARTITION BY i) AS sr, sum(o) OVER (PARTITION BY i) AS so FROM cell)),
+e AS (SELECT free.*, list_transform(string_split(v, ''), lambda y: strpos('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-', y)) AS l FROM free),
+added AS (SELECT rid, ord, kind, a, z, v FROM e, g WHERE list_sum(list_transform(list_zip(list_prepend(0, l), list_append(l, 0)), lambda k: gains[69 * k[1] + k[2] + 1])) >= 5000),
+spans AS (SELECT rid, count(*) FILTER (WHERE ord = 0) AS n0, count(*) FILTER (WHERE ord = 1) AS n1, count(*) FILTER (WHERE ord = 2) AS n2,
+  string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, ord) FILTER (WHERE ord < 3) AS b, string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, ord) AS w
+  FROM (FROM base UNION ALL FROM added) GROUP BY rid)
+SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(w, '') AS spans
+FROM d LEFT JOIN spans USING (rid)""",
 }
