@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, importance_resampling, language_id, minhash, packing, quality_classifier, quality_rules, secret_scan, sentencepiece_fst, substring_dedup, token_counts, warc
+from . import embedding_dedup, importance_resampling, language_id, lexical_search, minhash, packing, quality_classifier, quality_rules, secret_scan, sentencepiece_fst, substring_dedup, token_counts, warc
 from .shared import crc_bucket, scratch_path
 
 
@@ -63,6 +63,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=10)
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.find_secrets(_table(spark, sf_dir, "documents")))
 
@@ -71,7 +75,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc, op12_secret_scan, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_token_counts, op4_language_id, op5_quality_classifier, op6_packing, op7_minhash, op8_sentencepiece, op9_embedding_dedup, op10_warc, op11_lexical_search, op12_secret_scan, op13_importance_resampling)}
 
 _ASSIGN_SQL = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
 _KINDS_SQL = " UNION ALL ".join(
@@ -153,6 +157,15 @@ e AS (SELECT rid, doc_id, coalesce(n_features, 0) AS n_features, coalesce((total
 r AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score, n_features >= 39 AS fit FROM e),
 o AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY fit) AS n FROM r)
 SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN fit AND place <= 25 * n // 100 THEN place END AS rank FROM o""",
+    "op11_lexical_search": r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+q AS MATERIALIZED (SELECT DISTINCT iid, item_id, unnest(terms) AS term FROM (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark)),
+c AS (SELECT count(*) AS n, sum(len(terms))::BIGINT AS l FROM d WHERE len(terms) > 0),
+p AS MATERIALIZED (SELECT rid, doc_id, term, size, count(*) AS tf FROM (SELECT rid, doc_id, len(terms) AS size, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS MATERIALIZED (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+s AS (SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n) // l))))::BIGINT AS score FROM q JOIN w USING (term) JOIN p USING (term), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10""",
     "op12_secret_scan": rf"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 f AS ({_KINDS_SQL}),
