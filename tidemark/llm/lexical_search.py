@@ -75,8 +75,8 @@ def _exploded(df: DataFrame) -> DataFrame:
     return df.select("row", "id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("x")).select("row", "id", "n", F.col("x.terms").alias("term"), F.col("x.tfs").alias("tf"))
 
 
-def _bundles(items: DataFrame) -> DataFrame:
-    """(bundle, slot, item, term): items dealt into bundles of at most ``BUNDLE_ITEMS``. A partition's items
+def _bundles(items: DataFrame, size: int) -> DataFrame:
+    """(bundle, slot, item, term): items dealt into bundles of at most ``size``. A partition's items
     follow each other, so numbers are made from the counts of the partitions, not in one task."""
     part = F.shiftright("row", 33)
     before, starts = 0, []
@@ -86,10 +86,10 @@ def _bundles(items: DataFrame) -> DataFrame:
     offsets = items.sparkSession.createDataFrame(starts, "part long, before long")
     number = F.col("before") + F.col("row").bitwiseAND((1 << 33) - 1)
     out = items.where("term != ''").withColumn("part", part).join(F.broadcast(offsets), "part").withColumn("number", number)
-    return out.select(F.floor(F.col("number") / BUNDLE_ITEMS).cast("long").alias("bundle"), (F.col("number") % BUNDLE_ITEMS).cast("int").alias("slot"), F.col("id").alias("item"), "term")
+    return out.select(F.floor(F.col("number") / size).cast("long").alias("bundle"), (F.col("number") % size).cast("int").alias("slot"), F.col("id").alias("item"), "term")
 
 
-def _stage(state: pa.Table, postings: pa.Table, k: int) -> pa.Table:
+def _stage(state: pa.Table, postings: pa.Table, k: int, bits: int) -> pa.Table:
     """One bundle and block at owner ``k``: its accumulators after the owner's contributions."""
     row = {c: state.column(c)[0] for c in state.column_names}
     get = lambda c: row[c].values.to_numpy(zero_copy_only=False)
@@ -104,7 +104,7 @@ def _stage(state: pa.Table, postings: pa.Table, k: int) -> pa.Table:
     now, later = get(f"left_{k}"), get(f"left_{k + 1}")
     acc_slot, acc_local, acc_sum = get("acc_slot"), get("acc_local"), get("acc_sum")
     pair_at, acc_at = np.searchsorted(slot, [slots, slots + 1]), np.searchsorted(acc_slot, [slots, slots + 1])
-    sums, outs, tops = np.zeros(1 << BLOCK_BITS, np.int64), [], []
+    sums, outs, tops = np.zeros(1 << bits, np.int64), [], []
     for j, s in enumerate(slots.tolist()):
         sums[:] = 0
         a, b = acc_at[0][j], acc_at[1][j]
@@ -128,14 +128,14 @@ def _stage(state: pa.Table, postings: pa.Table, k: int) -> pa.Table:
     return pa.table({c: pa.array([lists[c]], t) if c in lists else state.column(c).cast(t) for c, t in types.items()})
 
 
-def _visit(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    return lambda state, postings: _stage(state, postings, k)
+def _visit(k: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    return lambda state, postings: _stage(state, postings, k, bits)
 
 
 _STATE = "bundle long, block long, top int, slots array<int>, bound array<long>, {left}, pair_slot array<int>, pair_term array<long>, pair_owner array<int>, acc_slot array<int>, acc_local array<int>, acc_sum array<long>, top_slot array<int>, top_sum array<long>"
 
 
-def search(docs: DataFrame, items: DataFrame, top: int = 10, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text", owners: Sequence[int] = OWNERS) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, top: int = 10, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text", owners: Sequence[int] = OWNERS, block_bits: int = BLOCK_BITS, bundle_items: int = BUNDLE_ITEMS) -> DataFrame:
     """(item_col, rank int, id_col, score long): each item's ``top`` documents with a score above 0, equal
     scores by ascending id (null ids last).
 
@@ -159,7 +159,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = 10, text_col: str = "te
     last = len(owners)
     owner = F.coalesce(*(F.when(F.col("w") >= least, k) for k, least in enumerate(owners)), F.lit(last))
     terms = terms.withColumn("w", w).where("w > 0").withColumns({"most": F.col("w") * F.col("most"), "owner": owner})
-    pairs = _bundles(wanted).join(vocabulary, "term").join(terms, "term_id")
+    pairs = _bundles(wanted, bundle_items).join(vocabulary, "term").join(terms, "term_id")
     pairs = stored(pairs.select("bundle", "slot", "item", "term_id", "owner", "w", "most"), "search-pairs")
 
     # what each item can still gain from owner k on, and its terms by slot
@@ -168,7 +168,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = 10, text_col: str = "te
     terms_of = pairs.groupBy("bundle").agg(F.array_sort(F.collect_list(F.struct("slot", "term_id", "owner"))).alias("p"))  # bounded by the bundle's items
     bundles = slots.join(terms_of, "bundle")
     owned = pairs.select("bundle", "term_id", "owner", "w").distinct()
-    dealt = postings.join(owned, "term_id").select("bundle", F.shiftright("row", BLOCK_BITS).alias("block"), "term_id", "owner", F.col("row").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("local"), (part * F.col("w")).alias("gain"))
+    dealt = postings.join(owned, "term_id").select("bundle", F.shiftright("row", block_bits).alias("block"), "term_id", "owner", F.col("row").bitwiseAND((1 << block_bits) - 1).cast("int").alias("local"), (part * F.col("w")).alias("gain"))
     routes = dealt.select("bundle", "block").distinct()
     ddl = _STATE.format(left=", ".join(f"left_{k} array<long>" for k in range(last + 2)))
     none = {c: F.array().cast(t) for c, t in (("acc_slot", "array<int>"), ("acc_local", "array<int>"), ("acc_sum", "array<long>"), ("top_slot", "array<int>"), ("top_sum", "array<long>"))}
@@ -179,10 +179,10 @@ def search(docs: DataFrame, items: DataFrame, top: int = 10, text_col: str = "te
     held = state = stored(first, "search-bundles")
     for k in range(last + 1):
         mine = dealt.where(F.col("owner") == k).select("bundle", "block", "term_id", "local", "gain")
-        summed = stored(state.groupBy("bundle", "block").cogroup(mine.groupBy("bundle", "block")).applyInArrow(_visit(k), ddl), f"search-{k}")
+        summed = stored(state.groupBy("bundle", "block").cogroup(mine.groupBy("bundle", "block")).applyInArrow(_visit(k, block_bits), ddl), f"search-{k}")
         release(held)
         held, state = summed, summed.drop("bound").join(_bounds(summed, top), "bundle").select(*summed.columns)
-    found = _selected(state, postings)
+    found = _selected(state, postings, block_bits)
     names = pairs.select("bundle", "slot", "item").distinct()
     best = Window.partitionBy("bundle", "slot").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
@@ -198,9 +198,9 @@ def _bounds(state: DataFrame, top: int) -> DataFrame:
     return slots.join(nth, "bundle", "left").select("bundle", F.transform("slots", lambda s: F.coalesce(F.try_element_at("m", s), F.lit(0).cast("long"))).alias("bound"))
 
 
-def _selected(state: DataFrame, postings: DataFrame) -> DataFrame:
+def _selected(state: DataFrame, postings: DataFrame, bits: int) -> DataFrame:
     """(bundle, slot, id, score) of all accumulators that reach the last bound."""
     bound = F.get(F.col("bound"), F.array_position("slots", F.col("x.acc_slot")).cast("int") - 1)
     left = state.select("bundle", "block", "slots", "bound", F.explode(F.arrays_zip("acc_slot", "acc_local", "acc_sum")).alias("x")).where(F.col("x.acc_sum") >= bound)
-    rows = left.select("bundle", F.col("x.acc_slot").alias("slot"), F.col("x.acc_sum").alias("score"), (F.shiftleft("block", BLOCK_BITS) + F.col("x.acc_local")).alias("row"))
+    rows = left.select("bundle", F.col("x.acc_slot").alias("slot"), F.col("x.acc_sum").alias("score"), (F.shiftleft("block", bits) + F.col("x.acc_local")).alias("row"))
     return rows.join(postings.where("term_id = -1").select("row", "id"), "row").select("bundle", "slot", "id", "score")

@@ -176,13 +176,15 @@ s AS MATERIALIZED (SELECT rid, ord, kind, a, a + length(v) AS z, CASE WHEN ord =
 base AS MATERIALIZED (SELECT * FROM s WHERE ord < 3),
 free AS MATERIALIZED (SELECT * FROM s WHERE ord = 3 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = s.rid AND b.a < s.z AND s.a < b.z)),
 x AS (SELECT sha256(range::VARCHAR) AS h, to_base64(unhex(sha256(range::VARCHAR))) AS e FROM range(2000)),
-learn AS (SELECT v, 1 AS label FROM base UNION ALL SELECT v, 0 FROM free UNION ALL SELECT unnest([h, e, upper(translate(e, '+/=', '')), lower(translate(e, '+/=', ''))]), 1 FROM x),
+halves AS (SELECT v, substr(v, 1, 8) AS h, substr(v, 9) AS t FROM free),
+learn AS (SELECT v, 1 AS label FROM base UNION ALL SELECT v, 0 FROM free
+  UNION ALL SELECT unnest([upper(v), h || upper(t[1]) || substr(t, 2), h || '_' || t, h || '-' || t, h || '/' || t, upper(h || '_' || t)]), 0 FROM halves WHERE regexp_full_match(v, '[a-z]+') UNION ALL SELECT unnest([h, e, upper(translate(e, '+/=', '')), lower(translate(e, '+/=', ''))]), 1 FROM x),
 c AS (SELECT label, list_transform(string_split(v, ''), lambda y: strpos('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-', y)) AS l FROM learn),
 t AS (SELECT label, unnest(list_zip(list_prepend(0, l), list_append(l, 0))) AS t FROM c),
 n AS (SELECT t[1] AS "from", t[2] AS "to", count(*) FILTER (WHERE label = 1) AS r, count(*) FILTER (WHERE label = 0) AS o FROM t GROUP BY ALL),
 cell AS (SELECT 69 * i + j AS id, i, coalesce(r, 0) AS r, coalesce(o, 0) AS o FROM range(69) AS q(i), range(69) AS w(j) LEFT JOIN n ON n."from" = i AND n."to" = j),
-g AS (SELECT list(floor(1000 * (ln((r + 1)::DOUBLE / (sr + 69)::DOUBLE) - ln((o + 1)::DOUBLE / (so + 69)::DOUBLE)))::BIGINT ORDER BY id) AS gains
-  FROM (SELECT *, sum(r) OVER (PARTITION BY i) AS sr, sum(o) OVER (PARTITION BY i) AS so FROM cell)),
+g AS (SELECT list(floor(1000 * (ln((r + 69 * ((tr + 1)::DOUBLE / (ar + 69)::DOUBLE)) / (sr + 69)::DOUBLE) - ln((o + 69 * ((te + 1)::DOUBLE / (ao + 69)::DOUBLE)) / (so + 69)::DOUBLE)))::BIGINT ORDER BY id) AS gains
+  FROM (SELECT *, sum(r) OVER (PARTITION BY i) AS sr, sum(o) OVER (PARTITION BY i) AS so, sum(r) OVER (PARTITION BY id % 69) AS tr, sum(o) OVER (PARTITION BY id % 69) AS te, sum(r) OVER () AS ar, sum(o) OVER () AS ao FROM cell)),
 e AS (SELECT free.*, list_transform(string_split(v, ''), lambda y: strpos('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-', y)) AS l FROM free),
 added AS (SELECT rid, ord, kind, a, z, v FROM e, g WHERE list_sum(list_transform(list_zip(list_prepend(0, l), list_append(l, 0)), lambda k: gains[69 * k[1] + k[2] + 1])) >= 5000),
 spans AS (SELECT rid, count(*) FILTER (WHERE ord = 0) AS n0, count(*) FILTER (WHERE ord = 1) AS n1, count(*) FILTER (WHERE ord = 2) AS n2,

@@ -112,12 +112,19 @@ def random_strings(spark: SparkSession, n: int = RANDOM_SAMPLES) -> DataFrame:
     return spark.range(n).select(F.explode(forms).alias("value"), F.lit(1).alias("label"))
 
 
+def _identifier_forms(value: Column) -> Column:
+    """A word in the forms that programs give it: whole, in two parts, in capitals."""
+    head, tail = F.substring(value, 1, 8), F.substr(value, F.lit(9))
+    forms = F.array(value, F.upper(value), F.concat(head, F.initcap(tail)), *(F.concat(head, F.lit(c), tail) for c in "_-/"), F.upper(F.concat(head, F.lit("_"), tail)))
+    return F.when(value.rlike("^[a-z]+$"), forms).otherwise(F.array(value))
+
+
 def labelled_samples(scanned: DataFrame) -> DataFrame:
     """(value, label): what the fixed patterns find, and random strings, are labelled 1; other candidates of
-    the corpus 0. All rows are used."""
+    the corpus, in lower case also as parts of identifiers, 0. All rows are used."""
     value = F.when(F.col("x.kind") == "assign", _assigned(F.col("x.value"))).otherwise(F.col("x.value"))
     found = scanned.select(F.explode("base").alias("x")).select(value.alias("value"), F.lit(1).alias("label"))
-    ordinary = scanned.select(F.explode("free").alias("x")).select("x.value", F.lit(0).alias("label"))
+    ordinary = scanned.select(F.explode("free").alias("x")).select(F.explode(_identifier_forms(F.col("x.value"))).alias("value"), F.lit(0).alias("label"))
     return found.unionByName(ordinary).unionByName(random_strings(scanned.sparkSession))
 
 
@@ -132,16 +139,18 @@ def _place(c: Column) -> Column:
 def train(samples: DataFrame) -> list[int]:
     """Thousandths of the log ratio of each transition, by ``STATES * from + to``, from samples (value, label).
 
-    Transitions are counted over all samples, each with one more in every cell; characters outside the
-    alphabet count as the end of a string. The table's size does not depend on the input. Samples of one
-    label alone, or none, give a table that is only the smoothing of the other; null values are left out."""
+    Transitions are counted over all samples. A transition's share of its state is mixed with its target's share
+    of all transitions, which counts as ``STATES`` transitions; so a state that one chain has not seen falls
+    back on how common the next character is. Characters outside the alphabet count as the end of a string. The table's size does not depend on the input. Samples of one
+    label alone, or none, leave the other chain to the smoothing; null values are left out."""
     chars = _characters(F.col("value"))
     steps = F.arrays_zip(F.concat(F.array(F.lit("")), chars).alias("a"), F.concat(chars, F.array(F.lit(""))).alias("b"))
     seen = samples.where("value IS NOT NULL").select("label", F.explode(steps).alias("s")).groupBy("s.a", "s.b").agg(F.count_if(F.col("label") == 1).alias("r"), F.count_if(F.col("label") == 0).alias("o"))
     seen = seen.groupBy((F.lit(STATES) * _place(F.col("a")) + _place(F.col("b"))).cast("long").alias("id")).agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
     cells = samples.sparkSession.range(STATES * STATES).join(seen, "id", "left").fillna(0, ["r", "o"])
-    row = Window.partitionBy((F.col("id") / STATES).cast("int"))  # one row a state
-    share = {c: F.log((F.col(c) + 1) / (F.sum(c).over(row) + STATES)) for c in "ro"}
+    of = {"from": F.floor(F.col("id") / STATES), "to": F.col("id") % STATES, "all": F.lit(0)}  # over the table of cells alone
+    total = {(c, k): F.sum(c).over(Window.partitionBy(by)) for c in "ro" for k, by in of.items()}
+    share = {c: F.log((F.col(c) + STATES * ((total[c, "to"] + 1) / (total[c, "all"] + STATES))) / (total[c, "from"] + STATES)) for c in "ro"}
     gains = cells.select("id", F.floor(1000 * (share["r"] - share["o"])).cast("long").alias("gain")).orderBy("id")
     return [x.gain for x in gains.collect()]  # one row a cell
 
