@@ -102,7 +102,7 @@ def dropped_symbols(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_type AS symbol, count(*)::BIGINT AS n, true AS hashed FROM events GROUP BY 1")
 def snapshot(spark: SparkSession, d: str) -> DataFrame:
     target = scratch_path(spark, "snapshot")
-    manifest = tables.export_snapshot(spark, _written(spark, d), target)
+    manifest = tables.export_snapshot(spark, _written(spark, d), target, TRADES)
     hashed = manifest.agg(F.every(F.col("line").rlike(r"^[0-9A-F]{64} \*\S+\.parquet$") & (F.col("length") > 0)).alias("hashed"))
     return spark.read.parquet(target).groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(hashed))
 

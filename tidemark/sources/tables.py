@@ -1,16 +1,15 @@
 """Stored tables: discovery, replacement, partition-scoped rewriting, copies, splits, layout, export.
 
-Tables are Parquet, partitioned by market, symbol and month. There is no MERGE: a rewrite reads and stages
-only the partitions that it touches, then moves each of them into its place by a redo log, which a later
-call carries on after a crash. Swaps of whole tables put the old one aside until the new one is in place.
+Tables are Parquet, partitioned by market, symbol and month. There is no MERGE: a rewrite reads only the
+partitions that may hold its keys, writes their new rows beside them, and commits which rows make up each
+partition (``versions``). Many writers and readers can work on a table at once: a reader keeps the version it
+began with, and a writer whose partitions have changed meanwhile starts again.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,42 +19,30 @@ from pyspark.sql.types import StructType
 from ..functions.scalars import from_micros, from_millis
 from ..operators.merge import replace_tail, replace_tails, require_unique, upsert
 from ..schemas import DataType
+from . import versions
+from .scratch import release, stored
+from .versions import Change, Part, Parts, Place, Snapshot
 
 PARTITIONS = ("market", "symbol", "month")
 #: Rows of a row group of the high-volume types; fixed value. Others keep Parquet's default.
 LARGE_GROUP_ROWS = 524_288
-
-
-def _fs(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+#: Legacy tables that one commit takes over.
+SPLIT_TABLES = 64
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _fs(spark, path)
+    fs, target = versions.fs(spark, path)
     return fs.exists(target)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Missing paths are no error."""
-    fs, target = _fs(spark, path)
+    fs, target = versions.fs(spark, path)
     fs.delete(target, True)
 
 
-def _renamed(spark: SparkSession, source: str, target: str) -> None:
-    fs, path = _fs(spark, source)
-    if not fs.rename(path, _fs(spark, target)[1]):
-        raise OSError(f"{source} could not be renamed to {target}")
-
-
-def _siblings(spark: SparkSession, path: str, mark: str) -> list[str]:
-    """Folders beside a table whose names are the table's and then ``mark``, in the order of their names."""
-    fs, target = _fs(spark, f"{path.rstrip('/')}{mark}*")
-    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
-
-
 def partition_path(spark: SparkSession, market: str, symbol: str, month: str | None = None) -> str:
-    """The folder of a partition below its table, its values escaped as Spark writes them."""
+    """The folder of a partition below its data folder, its values escaped as Spark writes them."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     names = zip(PARTITIONS, (market, symbol, month) if month else (market, symbol), strict=False)
     return "/".join(f"{n}={escape(v) if v else '__HIVE_DEFAULT_PARTITION__'}" for n, v in names)
@@ -77,18 +64,56 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> bool:
-    """Create the target, replacing it, from the source; False if there is no source."""
+    """Create the target, replacing it, from the source; False if there is no source. The copy is made beside
+    the target and then takes its name, so a copy that fails leaves the old target as it was."""
     if not table_exists(spark, source):
         return False
-    spark.table(source).write.mode("overwrite").saveAsTable(target)
+    mark = uuid.uuid4().hex[:8]
+    staged, aside = f"{target}__new_{mark}", f"{target}__old_{mark}"
+    try:
+        spark.table(source).write.saveAsTable(staged)
+    except Exception:
+        drop_table(spark, staged)
+        raise
+    old = table_exists(spark, target)
+    if old:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    except Exception:
+        if old:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        drop_table(spark, staged)
+        raise
+    drop_table(spark, aside)
     return True
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame | None:
-    """Distinct (market, symbol) below a data type's root, ordered whatever their case; None if it is missing."""
-    if not path_exists(spark, root):
+    """Distinct (market, symbol) of a data type's table, ordered whatever their case; None if it is missing.
+    Names come from the table's version, without reading data."""
+    found = versions.snapshot(spark, root)
+    if not found.version:
         return None
-    return spark.read.parquet(root).select("market", "symbol").distinct().orderBy(F.lower("symbol"), "symbol", "market")
+    names = sorted({p[:2] for p in found.parts}, key=lambda p: ((p[1] or "").lower(), p[1] or "", p[0] or ""))
+    return spark.createDataFrame(names, "market string, symbol string")
+
+
+def places(found: Snapshot) -> list[tuple]:
+    """(market, symbol, month, rows, min_time, max_time, min_key, max_key) of each part of a version."""
+    return [(*p, x.rows, *(x.time or (None, None)), *(x.key or (None, None))) for p, parts in found.parts.items() for x in parts]
+
+
+def partition_stats(spark: SparkSession, path: str) -> DataFrame:
+    """What is known of the parts of each partition, without reading data: names, rows, and the least and
+    greatest time and key. Row counts and watermarks of a stored table follow from it."""
+    return spark.createDataFrame(places(versions.snapshot(spark, path)), "market string, symbol string, month string, n_rows long, min_time long, max_time long, min_key long, max_key long")
+
+
+def stored_watermarks(spark: SparkSession, path: str) -> DataFrame:
+    """(market, symbol, watermark, n_rows) of a stored table, from its log alone; symbols without a time have
+    no watermark."""
+    return partition_stats(spark, path).groupBy("market", "symbol").agg(F.max("max_time").alias("watermark"), F.sum("n_rows").alias("n_rows"))
 
 
 def month_of(kind: DataType, time: str | None = None) -> Column:
@@ -116,178 +141,204 @@ def _schema(kind: DataType) -> StructType:
     return StructType.fromDDL(f"{kind.columns}, market string, symbol string, month string")
 
 
-def read(spark: SparkSession, path: str, kind: DataType) -> DataFrame:
-    """The table with its declared columns; an absent one is empty."""
-    recover(spark, path)
-    if not path_exists(spark, path):
+def _folders(spark: SparkSession, path: str, found: Snapshot, wanted: Iterable[Place] | None) -> list[str]:
+    """The folders of the wanted partitions; a data folder that is wanted whole is one folder."""
+    chosen = found.parts if wanted is None else {p: found.parts[p] for p in wanted if p in found.parts}
+    each: dict[tuple[str, int], set[Place]] = {}
+    for p, parts in chosen.items():
+        for x in parts:
+            each.setdefault((x.data, x.among), set()).add(p)
+    whole = [f"{path}/v={data}" for (data, among), some in each.items() if len(some) == among]
+    return whole + [f"{path}/v={data}/{partition_path(spark, *p)}" for (data, among), some in each.items() if len(some) < among for p in sorted(some, key=str)]
+
+
+def _frame(spark: SparkSession, path: str, kind: DataType, found: Snapshot, wanted: Iterable[Place] | None = None) -> DataFrame:
+    folders = _folders(spark, path.rstrip("/"), found, wanted)
+    if not folders:
         return spark.createDataFrame([], _schema(kind))
-    return spark.read.schema(_schema(kind)).parquet(path)
+    rows = spark.read.schema(_schema(kind).add("v", "string")).option("basePath", path.rstrip("/")).parquet(*folders)
+    return rows.select(*_schema(kind).names)
 
 
-def replace(df: DataFrame, path: str, kind: DataType, unique: bool = True) -> None:
-    """Swap the whole table. Keys are checked, and rows written, beside the old table first; the old table
-    is put aside, and comes back if the new one cannot take its place (or, after a crash in between, with
-    the next call that reads or writes it). No rows leave an empty table."""
-    spark, path = df.sparkSession, path.rstrip("/")
-    recover(spark, path)
-    if unique:
-        require_unique(df, ["market", "symbol", *kind.key])
-    mark = uuid.uuid4().hex[:8]
-    staged, aside = f"{path}__new-{mark}", f"{path}__old-{mark}"
-    _writer(df, kind).parquet(staged)
-    if path_exists(spark, path):
-        _renamed(spark, path, aside)
+def read(spark: SparkSession, path: str, kind: DataType, version: int | None = None) -> DataFrame:
+    """The table with its declared columns, as it is now or was at a version; an absent one is empty. Commits
+    after the call do not change what the result reads."""
+    return _frame(spark, path, kind, versions.snapshot(spark, path, version))
+
+
+def _write(df: DataFrame, path: str, kind: DataType) -> tuple[str, Parts]:
+    """Write rows to a data folder of their own; gives its name and what each partition there holds."""
+    spark, data, key, time = df.sparkSession, f"c{uuid.uuid4().hex}", kind.key[0], kind.time
+    columns = [*kind.schema.names, "market", "symbol", *(["month"] if "month" in df.columns else [])]
+    staged = f"{path.rstrip('/')}/v={data}"
     try:
-        _renamed(spark, staged, path)
+        _writer(df.select(*columns), kind).parquet(staged)
+        rows = spark.read.schema(_schema(kind)).parquet(staged).groupBy(*PARTITIONS)
+        found = rows.agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("t0"), F.max(time).alias("t1"), F.min(key).alias("k0"), F.max(key).alias("k1")).collect()  # one row a partition written
     except Exception:
-        if path_exists(spark, aside):
-            _renamed(spark, aside, path)
-        remove_path(spark, staged)
+        versions.discard(spark, path, data)
         raise
-    remove_path(spark, aside)
 
+    def ends(low: int | None, high: int | None) -> tuple[int, int] | None:
+        return None if low is None or high is None else (low, high)
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish what a crash has left undone: bring back a table that was put aside, and carry on moves."""
-    path = path.rstrip("/")
-    for aside in _siblings(spark, path, "__old-"):
-        if path_exists(spark, path):
-            remove_path(spark, aside)
-        else:
-            _renamed(spark, aside, path)
-    for staged in _siblings(spark, path, "__rewrite-"):
-        if path_exists(spark, f"{staged}/_moves"):
-            _move(spark, staged, path)
+    return data, {(r.market, r.symbol, r.month): (Part(data, len(found), r.n, ends(r.t0, r.t1), ends(r.k0, r.k1)),) for r in found}
 
 
-def append(df: DataFrame, path: str, kind: DataType) -> None:
-    """Add rows with the declared columns."""
-    columns = [*kind.schema.names, "market", "symbol"]
-    _writer(df.select(*columns), kind).mode("append").parquet(path)
-
-
-def rewrite(spark: SparkSession, result: DataFrame, touched: Iterable[tuple[str, str, str]], path: str, kind: DataType) -> None:
-    """Replace the ``touched`` partitions (market, symbol, month) by their rows of ``result``, which may read
-    the table itself and holds no other rows; partitions without rows go. One write, in the table's layout."""
-    path = path.rstrip("/")
-    staged = f"{path}__rewrite-{uuid.uuid4().hex[:8]}"
-    _writer(result, kind).parquet(staged)
-    places = [partition_path(spark, *p) for p in touched]
-    moves = [(p, path_exists(spark, f"{staged}/{p}")) for p in places]
-    spark.createDataFrame([(json.dumps(moves),)], "value string").coalesce(1).write.text(f"{staged}/_moves")
-    _move(spark, staged, path)
-
-
-def _move(spark: SparkSession, staged: str, path: str) -> None:
-    """Carry out the moves that a rewrite has written down; those done already are passed over."""
-
-    def move(step: tuple[str, bool]) -> None:
-        place, filled = step
-        new, old = f"{staged}/{place}", f"{path}/{place}"
-        if filled and not path_exists(spark, new):
-            return
-        remove_path(spark, old)
-        if filled:
-            fs, parent = _fs(spark, old.rsplit("/", 1)[0])
-            fs.mkdirs(parent)
-            _renamed(spark, new, old)
+def replace(df: DataFrame, path: str, kind: DataType, unique: bool = True) -> None:
+    """Replace the whole table in one commit. Keys are checked after the rows have been written and before
+    they belong to the table. No rows leave an empty table."""
+    spark = df.sparkSession
+    data, parts = _write(df, path, kind)
+    try:
+        if unique:
+            require_unique(_frame(spark, path, kind, Snapshot(0, parts)), ["market", "symbol", *kind.key])
+    except Exception:
+        versions.discard(spark, path, data)
+        raise
+    versions.transact(spark, path, lambda _: Change(set=parts, replace=True, data=data))
 
-    with ThreadPoolExecutor(16) as pool:  # names of folders only, no data
-        list(pool.map(move, json.loads(spark.read.text(f"{staged}/_moves").first().value)))
-    remove_path(spark, staged)
 
+def append(df: DataFrame, path: str, kind: DataType) -> None:
+    """Add rows with the declared columns, whatever other writers do."""
+    data, parts = _write(df, path, kind)
+    versions.transact(df.sparkSession, path, lambda _: Change(add=parts, data=data))
 
-def _months(df: DataFrame, kind: DataType) -> DataFrame:
-    return df.select("market", "symbol", month_of(kind).alias("month"))
 
+def rewrite(result: DataFrame, touched: Iterable[Place], reads: Iterable[tuple], path: str, kind: DataType) -> Change:
+    """The change that replaces the ``touched`` partitions by their rows of ``result``, which holds no other
+    rows; partitions without rows go. It depends on ``reads``: partitions, or whole symbols."""
+    data, parts = _write(result, path, kind)
+    touched = set(touched)
+    if stray := set(parts) - touched:
+        versions.discard(result.sparkSession, path, data)
+        raise ValueError(f"rows of partitions that are not rewritten: {sorted(stray, key=str)[:3]}")
+    return Change(set={p: parts.get(p, ()) for p in touched}, reads=frozenset(reads), data=data)
 
-def _values(places: DataFrame) -> set[tuple[str, str, str]]:
-    """Distinct partition values: names of symbols and months, whose number does not grow with the rows."""
-    return {tuple(r) for r in places.select(*PARTITIONS).distinct().collect()}
 
+def vacuum(spark: SparkSession, path: str, keep: int = 1, orphan_hours: float = 168) -> int:
+    """Delete the files that only versions before the last ``keep`` hold; gives the number of folders."""
+    return versions.vacuum(spark, path, lambda p: partition_path(spark, *p), keep, orphan_hours)
 
-def _within(target: DataFrame, places: Iterable[tuple[str, str, str]], columns: int = 3) -> DataFrame:
-    """Rows of the partitions given, or of their symbols in all months. The filters are on partition columns
-    alone, so that no other folder is read."""
-    places = {p[:columns] for p in places}
-    for i, name in enumerate(PARTITIONS[:columns]):
-        target = target.where(F.col(name).isin(sorted({p[i] for p in places})))
-    return target.where(F.struct(*PARTITIONS[:columns]).isin([F.struct(*map(F.lit, p)) for p in sorted(places)])) if places else target.limit(0)
+
+def _values(rows: DataFrame) -> set[Place]:
+    """Distinct partition values: names of symbols and months, whose number does not grow with the rows."""
+    return {tuple(r) for r in rows.select(*PARTITIONS).distinct().collect()}
 
 
-def _moved(target: DataFrame, incoming: DataFrame, kind: DataType, places: set[tuple[str, str, str]]) -> set[tuple[str, str, str]]:
+def _moved(spark: SparkSession, path: str, incoming: DataFrame, kind: DataType, found: Snapshot, symbols: set[tuple]) -> set[Place]:
     """Partitions that hold an incoming key now. A key with the time in it is in its own month; others are
-    looked for among the months of their symbols."""
+    looked for among those partitions of their symbols whose range of keys has an incoming one."""
     if kind.time in kind.key:
         return set()
-    keys = ["market", "symbol", *kind.key]
-    return _values(_within(target, places, 2).join(incoming.select(*keys), keys, "left_semi"))
+    key = kind.key[0]
+    ranges = [(*r[:3], *r[6:]) for r in places(found) if r[:2] in symbols and r[6] is not None]
+    if not ranges:
+        return set()
+    keys = incoming.select("market", "symbol", *kind.key).distinct()
+    known = spark.createDataFrame(ranges, "market string, symbol string, month string, low long, high long")
+    near = _values(keys.join(known, ["market", "symbol"]).where(F.col(key).between(F.col("low"), F.col("high"))))
+    return _values(_frame(spark, path, kind, found, near).join(keys, ["market", "symbol", *kind.key], "left_semi")) if near else set()
+
+
+def _held(incoming: DataFrame, kind: DataType, more: Sequence[str] = ()) -> DataFrame:
+    """Incoming rows, evaluated once: every attempt and every use of them sees the same rows."""
+    columns = list(dict.fromkeys([*kind.schema.names, "market", "symbol", *more]))
+    return stored(incoming.select(*columns, month_of(kind).alias("month")), "incoming")
 
 
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType) -> None:
     """Keyed upsert of a stored table. A key that comes twice is an error before anything is written; no
     rows change nothing, and make no table. Only partitions that hold an old or a new row of an incoming
-    key are read and written."""
-    if incoming.isEmpty():
-        return
-    keys = ["market", "symbol", *kind.key]
-    require_unique(incoming, keys)
-    target, new = read(spark, path, kind), incoming.withColumn("month", month_of(kind))
-    places = _values(new)
-    places |= _moved(target, incoming, kind, places)
-    rewrite(spark, upsert(_within(target, places), new, keys), places, path, kind)
+    key are read and written. Of two upserts at once that touch the same partition, or the same symbol where
+    the key does not hold the time, the later one is done again from the earlier one's result."""
+    new, keys = _held(incoming, kind), ["market", "symbol", *kind.key]
+    try:
+        own = _values(new)
+        if not own:
+            return
+        require_unique(new, keys)
+        symbols = {p[:2] for p in own}
+
+        def attempt(found: Snapshot) -> Change:
+            touched = own | _moved(spark, path, new, kind, found, symbols)
+            result = upsert(_frame(spark, path, kind, found, touched), new, keys)
+            return rewrite(result, touched, touched if kind.time in kind.key else symbols, path, kind)
+
+        versions.transact(spark, path, attempt)
+    finally:
+        release(new)
 
 
 def replace_tail_table(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, order: Sequence[str]) -> None:
     """Tail replacement of a stored table by one file a symbol."""
-    new = incoming.withColumn("month", month_of(kind))
-    _rewrite_tails(spark, incoming, path, kind, lambda target: replace_tail(target, new, ["market", "symbol"], list(kind.key), kind.time, order))
+    _rewrite_tails(spark, incoming, path, kind, order, lambda target, new: replace_tail(target, new, ["market", "symbol"], list(kind.key), kind.time, order))
 
 
 def replace_tails_table(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, file_seq: str, line: str) -> None:
     """Tail replacement of a stored table by many files a symbol, in the order of ``file_seq``."""
-    new = incoming.withColumn("month", month_of(kind))
-    _rewrite_tails(spark, incoming, path, kind, lambda target: replace_tails(target, new, ["market", "symbol"], list(kind.key), kind.time, file_seq, line))
+    _rewrite_tails(spark, incoming, path, kind, [file_seq, line], lambda target, new: replace_tails(target, new, ["market", "symbol"], list(kind.key), kind.time, file_seq, line))
+
+
+def _rewrite_tails(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, more: Sequence[str], change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """``change`` the partitions from each symbol's first incoming month on, and those that hold its keys. A
+    symbol's tail depends on all its partitions."""
+    new = _held(incoming, kind, more)
+    try:
+        own = _values(new)
+        if not own:
+            return
+        first: dict[tuple, str] = {}
+        for p in sorted(own, key=str):
+            first[p[:2]] = min(first.get(p[:2], p[2]), p[2])
 
+        def attempt(found: Snapshot) -> Change:
+            touched = own | {p for p in found.parts if p[:2] in first and p[2] != "none" and p[2] >= first[p[:2]]}
+            touched |= _moved(spark, path, new, kind, found, set(first))
+            return rewrite(change(_frame(spark, path, kind, found, touched), new), touched, first, path, kind)
 
-def _rewrite_tails(spark: SparkSession, incoming: DataFrame, path: str, kind: DataType, change: Callable[[DataFrame], DataFrame]) -> None:
-    """``change`` the partitions from each symbol's first incoming month on, and those that hold its keys."""
-    target, places = read(spark, path, kind), _values(_months(incoming, kind))
-    first = {}
-    for market, symbol, month in sorted(places):
-        first.setdefault((market, symbol), month)
-    here = _values(_within(target, places, 2))
-    places |= {p for p in here if p[2] >= first[p[:2]] and p[2] != "none"}
-    places |= _moved(target, incoming, kind, places)
-    rewrite(spark, change(_within(target, places)), places, path, kind)
+        versions.transact(spark, path, attempt)
+    finally:
+        release(new)
 
 
 def split_shared(spark: SparkSession, names: Sequence[str], market: str, path: str, kind: DataType) -> int:
-    """Move legacy tables, one a symbol, into the partitioned table in one job, then drop them; gives their
-    number. A symbol's legacy table replaces what the partitioned one holds of it, so that doing it again
-    after a crash changes nothing."""
+    """Move legacy tables, one a symbol, into the partitioned table, then drop them; gives their number. A
+    commit takes over ``SPLIT_TABLES`` of them. A symbol's legacy table replaces what the partitioned one holds
+    of it, so that doing it again after a crash changes nothing."""
     found = [n for n in names if table_exists(spark, n)]
-    if not found:
-        return 0
-    each = [spark.table(n).select(*kind.schema.names).withColumns({"market": F.lit(market), "symbol": F.lit(n.rsplit(".", 1)[-1].upper())}) for n in found]
-    rows = reduce(DataFrame.unionByName, each).withColumn("month", month_of(kind))
-    symbols = {(market, n.rsplit(".", 1)[-1].upper(), "") for n in found}
-    rewrite(spark, rows, _values(rows) | _values(_within(read(spark, path, kind), symbols, 2)), path, kind)
-    for name in found:
-        drop_table(spark, name)
+    symbol = {n: n.rsplit(".", 1)[-1].upper() for n in found}
+    for at in range(0, len(found), SPLIT_TABLES):
+        group = found[at : at + SPLIT_TABLES]
+        each = [spark.table(n).select(*kind.schema.names).withColumns({"market": F.lit(market), "symbol": F.lit(symbol[n])}) for n in group]
+        data, parts = _write(reduce(DataFrame.unionByName, each), path, kind)
+        own = frozenset((market, symbol[n]) for n in group)
+
+        def attempt(state: Snapshot, own: frozenset = own, parts: Parts = parts) -> Change:
+            return Change(set={p: parts.get(p, ()) for p in {*parts, *(p for p in state.parts if p[:2] in own)}}, reads=own)
+
+        versions.transact(spark, path, attempt)
+        for name in group:
+            drop_table(spark, name)
     return len(found)
 
 
 def drop_symbols(spark: SparkSession, gone: DataFrame, path: str) -> int:
-    """Delete the partitions of symbols, in any case, of (market, symbol) rows; gives their number."""
-    here = discover(spark, path)
-    if here is None:
+    """Remove the partitions of symbols, in any case, of (market, symbol) rows; gives the number of symbols.
+    Their files go with the next ``vacuum``, when no reader needs them."""
+    if not versions.snapshot(spark, path).version:
         return 0
-    names = gone.select("market", F.lower("symbol").alias("__name")).distinct()
-    rows = here.withColumn("__name", F.lower("symbol")).join(names, ["market", "__name"], "left_semi").collect()
-    with ThreadPoolExecutor(16) as pool:  # names of folders only, no data
-        list(pool.map(lambda r: remove_path(spark, f"{path}/{partition_path(spark, r.market, r.symbol)}"), rows))
-    return len(rows)
+    names = {(r.market, r.symbol.lower()) for r in gone.where("symbol IS NOT NULL").select("market", "symbol").distinct().collect()}  # names of symbols
+    here: set[tuple] = set()
+
+    def attempt(found: Snapshot) -> Change | None:
+        left = {p for p in found.parts if (p[0], (p[1] or "").lower()) in names}
+        here.clear()
+        here.update(p[:2] for p in left)
+        return Change(set=dict.fromkeys(left, ()), reads=frozenset(here)) if left else None
+
+    versions.transact(spark, path, attempt)
+    return len(here)
 
 
 def sql_over(spark: SparkSession, views: dict[str, DataFrame], statement: str) -> DataFrame:
@@ -301,13 +352,14 @@ def sql_over(spark: SparkSession, views: dict[str, DataFrame], statement: str) -
             spark.catalog.dropTempView(name)
 
 
-def export_snapshot(spark: SparkSession, path: str, target: str) -> DataFrame | None:
+def export_snapshot(spark: SparkSession, path: str, target: str, kind: DataType) -> DataFrame | None:
     """Copy a table to a snapshot, replacing an older one, and give (name, length, sha256, line) of its
     files; None if there is no table. A failed copy leaves nothing."""
-    if not path_exists(spark, path):
+    found = versions.snapshot(spark, path)
+    if not found.version:
         return None
     try:
-        spark.read.parquet(path).write.mode("overwrite").parquet(target)
+        _frame(spark, path, kind, found).write.mode("overwrite").parquet(target)
     except Exception:
         remove_path(spark, target)
         raise
