@@ -92,3 +92,13 @@ def test_complete_files_are_reused(spark):
     plan = spark.createDataFrame([("x.zip",), ("y.zip",)], "name string")
     verified = spark.createDataFrame([("x.zip", "valid"), ("y.zip", "mismatch")], "name string, status string")
     assert rows(watermark.reuse_complete(plan, verified)) == [("y.zip",)]
+
+
+def test_last_wins_by_either_plan(spark):
+    df = spark.createDataFrame([(k, v, t) for k in (1, 2, None) for v, t in (("a", 1), (None, 3), ("c", 3), ("z", None))], "k int, v string, t int")
+    for combine in (True, False):
+        out = merge.last_wins(df, ["k"], ["t"], combine)
+        assert rows(out) == [(1, "c", 3), (2, "c", 3), (None, "c", 3)] and out.columns == df.columns
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("Exchange hashpartitioning") :]
+        assert ("Sort" in below and "WindowGroupLimit" in below) == combine

@@ -15,14 +15,15 @@ class DuplicateKeys(ValueError):
     """A batch holds a key twice where each may come once."""
 
 
-def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each key that is last in ``order``, then in its other columns. Partial maxima go into the
-    shuffle, so a hot key sends one row a task. Null keys form a key of their own."""
+def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str], combine: bool = True) -> DataFrame:
+    """The row of each key that is last in ``order``, then in its other columns. Null keys form a key of their
+    own. With ``combine``, Spark sorts and cuts each task's groups to one row before the shuffle, so a key
+    that holds a large share of the rows sends one row a task; without, rows are sorted once, after the
+    shuffle, which is the faster way for keys that repeat only as often as files overlap."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    named = {c: f"o{i}" for i, c in enumerate([*order, *rest])}
-    best = F.max(F.struct(*(F.col(f"`{c}`").alias(n) for c, n in named.items()))).alias("__row")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*(F.col(f"`{c}`") if c in keys else F.col(f"__row.{named[c]}").alias(c) for c in df.columns))
+    latest = Window.partitionBy(*(F.col(f"`{c}`") for c in keys)).orderBy(*(F.desc_nulls_last(F.col(f"`{c}`")) for c in [*order, *rest]))
+    first = F.row_number().over(latest) == 1 if combine else F.lag(F.lit(1)).over(latest).isNull()
+    return df.withColumn("__first", first).where("__first").drop("__first")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,7 +61,7 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataF
 def append_import(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Import of a file without tail deletion: equal keys are replaced by the file's last row of them."""
     # distinct keys instead of the deduplicated rows: a hash aggregation without the other columns
-    return without_keys(target, incoming.select(*keys).distinct(), keys).unionByName(last_wins(incoming, keys, order).select(*target.columns))
+    return without_keys(target, incoming.select(*keys).distinct(), keys).unionByName(last_wins(incoming, keys, order, combine=False).select(*target.columns))  # one file, or a few
 
 
 def replace_tail(target: DataFrame, incoming: DataFrame, groups: Sequence[str], keys: Sequence[str], time: str, order: Sequence[str]) -> DataFrame:
@@ -81,7 +82,7 @@ def replace_tails(target: DataFrame, incoming: DataFrame, groups: Sequence[str],
     keys repeated in the table that no file holds, stay.
     """
     all_keys = [*groups, *keys]
-    latest = last_wins(incoming, all_keys, [file_seq, line])
+    latest = last_wins(incoming, all_keys, [file_seq, line], combine=False)
     # one row a file: small next to the data
     firsts = incoming.groupBy(*groups, file_seq).agg(F.min(time).alias("__min"))
     later = Window.partitionBy(*groups).orderBy(file_seq).rowsBetween(1, Window.unboundedFollowing)

@@ -102,7 +102,7 @@ QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_shipdate
 
 
 def _last_lines(spark: SparkSession, d: str) -> DataFrame:
-    return merge.last_wins(_table(spark, d, "lineitem").select(*_LINE), ["l_partkey", "l_suppkey"], _LINE_ORDER).drop("l_shipdate")
+    return merge.last_wins(_table(spark, d, "lineitem").select(*_LINE), ["l_partkey", "l_suppkey"], _LINE_ORDER, combine=False).drop("l_shipdate")
 
 
 @query(_LAST_LINE)
