@@ -19,14 +19,19 @@ class BadRecord(ValueError):
     """A landed line does not have its declared form."""
 
 
-def csv_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+def file_name() -> Column:
+    """A file's own name; Spark gives names as parts of an address, with odd characters escaped."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B"))
+
+
+def csv_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
     """(file, name, place, line) of text files, with ``place`` ordering the lines of a file.
 
     A split knows where it begins in its file, and rows of a split are numbered in order: together they
     order the lines of a file that many tasks read.
     """
     reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", str(recursive).lower())
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"), F.col("value").alias("line"))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), file_name().alias("name"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"), F.col("value").alias("line"))
     return lines.withColumn("line", F.regexp_replace("line", r"\r$", ""))
 
 
