@@ -70,10 +70,11 @@ def missing_day_samples(df: DataFrame, groups: Sequence[str], time: str, units_p
     return out.select(*groups, "n_missing", F.concat(text, F.when(F.col("n_missing") > shown, ", ..." if shown else "...").otherwise("")).alias("sample"))
 
 
-def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str], time: str, units_per_day: int, shown: int = SHOWN_DAYS, rows: bool = True, zeros: bool = True, days: bool = True, unreadable: Column | None = None) -> DataFrame:
+def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str], time: str, units_per_day: int, shown: int = SHOWN_DAYS, rows: bool = True, zeros: bool = True, days: bool = True, unreadable: Column | None = None, expected: DataFrame | None = None) -> DataFrame:
     """A row for each group of the universe: n_rows, n_invalid, zero_columns, n_missing, missing_sample,
     is_empty, failed, has_issue. Checks that are switched off report nothing; an empty table is not checked
-    further. A group with an ``unreadable`` row has failed: it is counted, but not checked.
+    further. A group with an ``unreadable`` row, or with another number of rows than ``expected`` (groups,
+    n_expected) says, has failed: it is counted, but not checked.
 
     One scan and one shuffle of partial counts by group and day give everything; a group's days then come
     together as one list, of as many entries as it has days."""
@@ -90,6 +91,9 @@ def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str],
     text = F.array_join(F.transform(F.slice(some, 1, shown), lambda d: F.date_format(day_date(d), "yyyy-MM-dd")), ", ")
     sample = F.when(missing > 0, F.concat(text, F.when(missing > shown, ", ..." if shown else "...").otherwise("")))
     zero, none, ok = F.lit(0).cast("long"), F.lit(""), ~F.col("failed")
+    if expected is not None:
+        short = F.coalesce("n_expected", F.lit(0)) != F.coalesce("n_rows", F.lit(0))
+        counts = counts.join(expected.select(*groups, "n_expected"), list(groups), "full").withColumn("failed", F.coalesce("failed", F.lit(False)) | short).drop("n_expected")
     counts = counts.select(
         *groups,
         "n_rows",
@@ -101,7 +105,7 @@ def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str],
     )
     out = universe.select(*groups).distinct().join(counts, list(groups), "left")
     out = out.select(*groups, F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("n_invalid", zero).alias("n_invalid"), F.coalesce("zero_columns", none).alias("zero_columns"), F.coalesce("n_missing", zero).alias("n_missing"), F.coalesce("missing_sample", none).alias("missing_sample"), F.coalesce("failed", F.lit(False)).alias("failed"))
-    empty = F.col("n_rows") == 0
+    empty = (F.col("n_rows") == 0) & ~F.col("failed")
     return out.withColumn("is_empty", empty).withColumn("has_issue", empty | (F.col("n_invalid") > 0) | (F.col("zero_columns") != "") | (F.col("n_missing") > 0))
 
 

@@ -4,6 +4,7 @@ in the form that the operator reads (CSV, JSON, partitioned Parquet, catalog tab
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql.types import StructType
 from ..functions import scalars as S
 from ..operators import merge, projections, quality, universe, watermark
 from ..schemas import DATA_TYPES
-from ..sources import landed, tables
-from ..sources.scratch import scratch_path
+from ..sources import landed, tables, versions
+from ..sources.scratch import scratch_path, stored
 from ..streaming import arrival
 from .catalog import DAY_US, _ntz, _table, _trades, query
 
@@ -113,25 +114,63 @@ def _database(spark: SparkSession) -> str:
     return name
 
 
+def _dropped(spark: SparkSession, db: str, result: DataFrame, name: str) -> DataFrame:
+    """The result, written down, once nothing is left of its database."""
+    held = stored(result, name)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return held
+
+
 @query("SELECT 'copy' AS table_name, event_type AS symbol, count(*)::BIGINT AS n FROM events GROUP BY 2")
 def copied_table(spark: SparkSession, d: str) -> DataFrame:
     db = _database(spark)
     _trades(spark, d).write.saveAsTable(f"{db}.trades")
-    tables.copy_table(spark, f"{db}.trades", f"{db}.copy")
+    for _ in range(2):  # the second copy replaces the first
+        tables.copy_table(spark, f"{db}.trades", f"{db}.copy")
     tables.copy_table(spark, f"{db}.none", f"{db}.nothing")
     tables.drop_table(spark, f"{db}.trades")
     tables.drop_table(spark, f"{db}.trades")
     (name,) = [n for n in tables.table_names(spark, db) if tables.table_exists(spark, f"{db}.{n}")]
-    return spark.table(f"{db}.{name}").groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "symbol", "n")
+    return _dropped(spark, db, spark.table(f"{db}.{name}").groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "symbol", "n"), "copied")
 
 
-@query("SELECT 'Spot' AS market, upper(event_type) AS symbol, event_id AS agg_trade_id, value AS price FROM events WHERE event_type IN ('click', 'view')")
+@query("SELECT 'Spot' AS market, upper(event_type) AS symbol, event_id AS agg_trade_id, value AS price FROM events")
 def split_legacy(spark: SparkSession, d: str) -> DataFrame:
     db, path = _database(spark), scratch_path(spark, "trades")
-    for name in ("click", "view"):
-        _trades(spark, d).where(F.col("symbol") == name).drop("symbol").write.saveAsTable(f"{db}.{name}")
+    for r in _trades(spark, d).select("symbol").distinct().collect():  # one legacy table a symbol, as the old layout had it
+        _trades(spark, d).where(F.col("symbol") == r.symbol).drop("symbol").write.saveAsTable(f"{db}.{r.symbol}")
     tables.split_shared(spark, [f"{db}.{n}" for n in (*tables.table_names(spark, db), "none")], "Spot", path, TRADES)
-    return tables.read(spark, path, TRADES).select("market", "symbol", "agg_trade_id", "price")
+    return _dropped(spark, db, tables.read(spark, path, TRADES).select("market", "symbol", "agg_trade_id", "price"), "split")
+
+
+@query("SELECT event_type AS symbol, CASE WHEN event_type <> 'click' THEN count(*) END::BIGINT AS n_rows, event_type = 'click' AS failed, count(*) FILTER (value < 5 AND event_type <> 'click')::BIGINT AS n_invalid, 1::BIGINT AS n_failed FROM events GROUP BY 1")
+def failed_tables(spark: SparkSession, d: str) -> DataFrame:
+    """A file of one symbol is cut short; the report goes on with the others."""
+    path = _written(spark, d)
+    broken = sorted(tables.read(spark, path, TRADES).where("symbol = 'click'").select(F.col("_metadata.file_path").alias("f")).distinct().collect())[0].f
+    fs, file = versions.fs(spark, broken)
+    fs.create(file, True).close()
+    report = tables.integrity_report(spark, path, TRADES, F.col("price") < 5)
+    total = quality.summary(report).select("n_failed")
+    return report.select("symbol", F.when(~F.col("failed"), F.col("n_rows")).alias("n_rows"), "failed", "n_invalid").join(F.broadcast(total))
+
+
+@query("SELECT event_type AS symbol, strftime(ts, '%Y-%m') AS month, (count(*) + count(*) FILTER (event_id % 2 = 0) + count(*) FILTER (event_id % 3 = 0))::BIGINT AS n_rows, 1::BIGINT AS n_parts FROM events GROUP BY 1, 2")
+def compacted(spark: SparkSession, d: str) -> DataFrame:
+    """Appends leave parts that overlap; afterwards each partition is one part."""
+    path = _written(spark, d)
+    for k in (2, 3):
+        tables.append(_rows(spark, d).where(_id(k) == 0), path, TRADES)
+    tables.compact_table(spark, path, TRADES)
+    tables.vacuum(spark, path)
+    counted = tables.read(spark, path, TRADES).groupBy("symbol", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.join(tables.partition_stats(spark, path).groupBy("symbol", "month").agg(F.count(F.lit(1)).alias("n_parts")), ["symbol", "month"])
+
+
+@query("SELECT event_type AS symbol, epoch_us(max(ts))::BIGINT AS watermark, count(*)::BIGINT AS n_rows FROM events GROUP BY 1")
+def stored_watermarks(spark: SparkSession, d: str) -> DataFrame:
+    """From the table's log, without a scan of its data."""
+    return tables.stored_watermarks(spark, _written(spark, d)).select("symbol", "watermark", "n_rows")
 
 
 @query("SELECT event_type AS symbol, count(*)::BIGINT AS n, max(value) AS price FROM events GROUP BY 1")
@@ -209,11 +248,36 @@ def file_order(spark: SparkSession, d: str) -> DataFrame:
     return landed.with_file_order(files, ["o_custkey"])
 
 
-@query("SELECT event_id AS agg_trade_id, value AS price, epoch_us(ts) // 1000 * 1000 AS transact_time, 'part' AS symbol FROM events")
+def _named_files(spark: SparkSession, rows: DataFrame, path: str, names: Sequence[str], order: str, columns: Sequence[str]) -> None:
+    """Land rows as CSV files below ``path``, one for each value of ``names`` (joined by '-'), in order."""
+    name = F.concat_ws("-", *names)
+    out = f"{path}-parts"
+    rows.withColumn("__name", name).repartition("__name").sortWithinPartitions("__name", order).select("__name", *columns).write.partitionBy("__name").csv(out)
+    fs, root = versions.fs(spark, out)
+    fs.mkdirs(versions.fs(spark, path)[1])
+    for folder in fs.globStatus(versions.fs(spark, f"{out}/__name=*")[1]):  # one file a name
+        (part,) = fs.globStatus(versions.fs(spark, f"{folder.getPath()}/part-*")[1])
+        fs.rename(part.getPath(), versions.fs(spark, f"{path}/{folder.getPath().getName().split('=', 1)[1]}.csv")[1])
+
+
+@query("""
+WITH e AS (SELECT event_type AS symbol, event_id % 6000 AS id, epoch_us(ts) // 1000 * 1000 AS t, value, event_id AS line,
+  least((day(ts) - 1) // 8 + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END, 3) AS f FROM events),
+l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY f DESC, line DESC) = 1),
+m AS (SELECT symbol, f, min(t) AS m FROM e GROUP BY 1, 2),
+c AS (SELECT symbol, f, min(m) OVER (PARTITION BY symbol ORDER BY f ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS cut FROM m)
+SELECT symbol, id AS agg_trade_id, value AS price, t::BIGINT AS transact_time FROM l JOIN c USING (symbol, f) WHERE cut IS NULL OR t < cut""")
 def arrived_files(spark: SparkSession, d: str) -> DataFrame:
-    path, table = _landed_trades(spark, d, {}, []), scratch_path(spark, "arrived")
-    arrival.start_ingestion(spark, path, table, "UsdFutures", scratch_path(spark, "stream")).awaitTermination()
-    return tables.read(spark, table, TRADES).select("agg_trade_id", "price", "transact_time", "symbol")
+    """Four files a symbol, overlapping and with repeated keys; the second lands after the fourth."""
+    path, table, state = (scratch_path(spark, n) for n in ("landing", "arrived", "stream"))
+    f = F.least(F.call_function("div", F.dayofmonth("ts") - 1, F.lit(8)) + F.when(_id(50) == 0, 1).otherwise(0), F.lit(3))
+    e = _table(spark, d, "events").withColumn("agg_trade_id", F.col("event_id"))
+    rows = e.withColumns({"f": f, "day": F.concat(F.lit("2024-01-"), F.lpad((8 * f + 1).cast("string"), 2, "0")), "kind": F.lit("aggTrades")})
+    rows = rows.select("f", "day", "kind", "event_id", F.col("event_type").alias("symbol"), (_id(6000)).alias("agg_trade_id"), F.col("value").alias("price"), F.lit(1.0).alias("quantity"), F.lit(1).alias("first_trade_id"), F.lit(1).alias("last_trade_id"), S.millis(F.col("ts")).alias("transact_time"), F.lit(True).alias("is_buyer_maker"))
+    for landed_now in ("f != 1", "f = 1"):
+        _named_files(spark, rows.where(landed_now), path if landed_now == "f != 1" else f"{path}/late", ["symbol", "kind", "day"], "event_id", _CSV)
+        arrival.start_ingestion(spark, path, table, "UsdFutures", state).awaitTermination()
+    return tables.read(spark, table, TRADES).select("symbol", "agg_trade_id", "price", "transact_time")
 
 
 # --- incremental ---
@@ -262,12 +326,17 @@ def next_windows(spark: SparkSession, d: str) -> DataFrame:
     return watermark.next_windows(cursors, e.where("value > 100"), ["user_id"], _ntz("2024-08-01"))
 
 
-_LENGTHS = ", ".join(f"{ms}::BIGINT" for ms in S.INTERVAL_MS.values())
+#: Fixed values, written out beside the operator's own: a candle interval's name and its milliseconds.
+_LENGTHS = {
+    "OneSecond": 1000, "OneMinute": 60000, "ThreeMinutes": 180000, "FiveMinutes": 300000, "FifteenMinutes": 900000, "ThirtyMinutes": 1800000,
+    "OneHour": 3600000, "TwoHour": 7200000, "FourHour": 14400000, "SixHour": 21600000, "EightHour": 28800000, "TwelveHour": 43200000,
+    "OneDay": 86400000, "ThreeDay": 259200000, "OneWeek": 604800000, "OneMonth": 2678400000,
+}
 
 
-@query(f"SELECT event_id, [{_LENGTHS}][event_id % 16 + 1] AS ms FROM events")
+@query(f"SELECT event_id, [{', '.join(f'{ms}::BIGINT' for ms in _LENGTHS.values())}][event_id % {len(_LENGTHS)} + 1] AS ms FROM events")
 def interval_lengths(spark: SparkSession, d: str) -> DataFrame:
-    name = F.element_at(F.array(*map(F.lit, S.INTERVAL_MS)), (F.col("event_id") % 16 + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, _LENGTHS)), (F.col("event_id") % len(_LENGTHS) + 1).cast("int"))
     return _table(spark, d, "events").select("event_id", S.interval_ms(name).alias("ms"))
 
 

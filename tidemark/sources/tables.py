@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import from_micros, from_millis
+from ..operators import quality
 from ..operators.merge import replace_tail, replace_tails, require_unique, upsert
 from ..schemas import DataType
 from . import versions
@@ -152,11 +153,14 @@ def _folders(spark: SparkSession, path: str, found: Snapshot, wanted: Iterable[P
     return whole + [f"{path}/v={data}/{partition_path(spark, *p)}" for (data, among), some in each.items() if len(some) < among for p in sorted(some, key=str)]
 
 
-def _frame(spark: SparkSession, path: str, kind: DataType, found: Snapshot, wanted: Iterable[Place] | None = None) -> DataFrame:
+def _frame(spark: SparkSession, path: str, kind: DataType, found: Snapshot, wanted: Iterable[Place] | None = None, tolerant: bool = False) -> DataFrame:
     folders = _folders(spark, path.rstrip("/"), found, wanted)
     if not folders:
         return spark.createDataFrame([], _schema(kind))
-    rows = spark.read.schema(_schema(kind).add("v", "string")).option("basePath", path.rstrip("/")).parquet(*folders)
+    reader = spark.read.schema(_schema(kind).add("v", "string")).option("basePath", path.rstrip("/"))
+    if tolerant:
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    rows = reader.parquet(*folders)
     return rows.select(*_schema(kind).names)
 
 
@@ -166,6 +170,54 @@ def read(spark: SparkSession, path: str, kind: DataType, version: int | None = N
     return _frame(spark, path, kind, versions.snapshot(spark, path, version))
 
 
+def integrity_report(spark: SparkSession, path: str, kind: DataType, invalid: Column, universe: DataFrame | None = None, **checks) -> DataFrame:
+    """``quality.integrity_report`` of a stored table by (market, symbol), which goes on where files cannot be
+    read: their rows are passed over, and a symbol with fewer rows than its commits wrote has failed. One scan
+    finds the failures and gives the report of the rest."""
+    found = versions.snapshot(spark, path)
+    rows = _frame(spark, path, kind, found, tolerant=True)
+    known = spark.createDataFrame([r[:4] for r in places(found)], "market string, symbol string, month string, n long").groupBy("market", "symbol").agg(F.sum("n").alias("n_expected"))
+    universe = known if universe is None else universe
+    return quality.integrity_report(universe, rows, ["market", "symbol"], invalid, kind.checked, kind.time, kind.units_per_day, expected=known, **checks)
+
+
+def fragmented(found: Snapshot, small_rows: int) -> list[Place]:
+    """Partitions with more than one part, where parts are small or overlap in time."""
+    out = []
+    for p, parts in found.parts.items():
+        spans = sorted(x.time for x in parts if x.time)
+        overlap = any(b[0] <= a[1] for a, b in zip(spans, spans[1:], strict=False))
+        if len(parts) > 1 and (overlap or sum(x.rows < small_rows for x in parts) > 1):
+            out.append(p)
+    return out
+
+
+def compact_table(spark: SparkSession, path: str, kind: DataType, small_rows: int = LARGE_GROUP_ROWS, rows_at_once: int = 1 << 31) -> int:
+    """Rewrite partitions that appends have left in small or overlapping parts, each in time order and in the
+    table's layout; gives their number. Partitions are taken in commits of about ``rows_at_once`` rows, and
+    one that other writers change meanwhile is looked at again."""
+    done = 0
+    todo = set(fragmented(versions.snapshot(spark, path), small_rows))
+    while todo:
+        taken: list[Place] = []
+
+        def attempt(found: Snapshot, taken: list = taken) -> Change | None:
+            taken.clear()
+            rows = 0
+            for p in (p for p in fragmented(found, small_rows) if p in todo):
+                if taken and rows >= rows_at_once:
+                    break
+                taken.append(p)
+                rows += sum(x.rows for x in found.parts[p])
+            return rewrite(_frame(spark, path, kind, found, taken), taken, taken, path, kind) if taken else None
+
+        if versions.transact(spark, path, attempt) is None:
+            break
+        done += len(taken)
+        todo -= set(taken)
+    return done
+
+
 def _write(df: DataFrame, path: str, kind: DataType) -> tuple[str, Parts]:
     """Write rows to a data folder of their own; gives its name and what each partition there holds."""
     spark, data, key, time = df.sparkSession, f"c{uuid.uuid4().hex}", kind.key[0], kind.time
