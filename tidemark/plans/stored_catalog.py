@@ -3,9 +3,14 @@ in the form that the operator reads (CSV, JSON, partitioned Parquet, catalog tab
 
 from __future__ import annotations
 
+import hashlib
+import io
 import uuid
+import zipfile
 from collections.abc import Sequence
 
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -207,6 +212,39 @@ def landed_depth(spark: SparkSession, d: str) -> DataFrame:
     return landed.accepted(landed.parse_depth(lines)).select("snapshot_time", "percentage", "depth", "notional")
 
 
+def _zipped(rows: DataFrame, path: str, groups: Sequence[str]) -> None:
+    """One archive a group, with a CSV file in a folder of its own and a checksum beside the archive."""
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        name, out = "-".join(map(str, key)), io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.mkdir("deep")
+            z.writestr(f"deep/{name}.csv", frame.sort_values("agg_trade_id")[_CSV].to_csv(index=False))
+        store = pyarrow.fs.LocalFileSystem()
+        store.create_dir(path)
+        for file, content in ((f"{name}.zip", out.getvalue()), (f"{name}.zip.CHECKSUM", f"{hashlib.sha256(out.getvalue()).hexdigest()}  {name}.zip".encode())):
+            with store.open_output_stream(f"{path}/{file}") as f:
+                f.write(content)
+        return frame[:0][["agg_trade_id"]]
+
+    rows.groupBy(*groups).applyInPandas(run, "agg_trade_id long").write.format("noop").mode("overwrite").save()
+
+
+@query("""
+SELECT event_type || '-aggTrades-' || strftime(ts, '%Y-%m-%d') || '.zip' AS archive, 'valid' AS status, event_id AS agg_trade_id, value AS price, epoch_us(ts) // 1000 * 1000 AS transact_time,
+  row_number() OVER (PARTITION BY event_type, ts::DATE ORDER BY event_id)::BIGINT AS row FROM events""")
+def landed_zip(spark: SparkSession, d: str) -> DataFrame:
+    """Archives of each symbol and day, whose checksums hold, and the order of their lines after a header."""
+    path = scratch_path(spark, "zips").removeprefix("file:")
+    days = F.date_format(S.from_micros(F.col("transact_time")), "yyyy-MM-dd")
+    rows = _trades(spark, d).withColumns({"kind": F.lit("aggTrades"), "day": days, "transact_time": S.millis(S.from_micros(F.col("transact_time")))})
+    _zipped(rows.select("symbol", "kind", "day", *_CSV), path, ["symbol", "kind", "day"])
+    lines = landed.without_header(landed.archive_lines(spark, path), "agg_trade_id", ("archive", "name"))
+    trades = landed.accepted(landed.parse_trades(lines, F.lit("UsdFutures"), F.lit("ms")))
+    checked = landed.checksums(spark, path).select(F.col("name").alias("archive"), "status")
+    return trades.join(checked, "archive").select("archive", "status", "agg_trade_id", "price", "transact_time", F.col("place.row").alias("row"))
+
+
 @query("SELECT event_id, event_type, value FROM events")
 def landed_pages(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "pages")

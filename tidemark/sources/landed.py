@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import itertools
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -101,35 +105,110 @@ def with_file_order(files: DataFrame, groups: list[str], archive: str = "archive
     return files.withColumn("file_seq", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
 
 
-def archive_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, name, place, line) of every file in the .zip archives, names flattened to their last part.
-    One task opens an archive; an archive without files fails the job."""
+Opener = Callable[[str], BinaryIO]
+
+
+class _Remote(io.RawIOBase):
+    """An Arrow file as Python's own files are: a seek that is out of place is an OSError."""
+
+    def __init__(self, file: pa.NativeFile):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self._file.seek(offset, whence)
+        except pa.ArrowInvalid as e:
+            raise OSError(str(e)) from e
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def readinto(self, buffer) -> int:
+        return self._file.readinto(buffer)
+
+    def close(self) -> None:
+        self._file.close()
+        super().close()
+
+
+def open_file(path: str) -> BinaryIO:
+    """A seekable file by its address: a local path, or what Arrow's file systems can open."""
+    if path.startswith("file:") or ":" not in path.split("/")[0]:
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")  # noqa: SIM115
+    system, name = pyarrow.fs.FileSystem.from_uri(path)
+    return io.BufferedReader(_Remote(system.open_input_file(name)))
+
+
+def _dealt(files: DataFrame) -> DataFrame:
+    """Rows that each stand for much work, dealt over the session's tasks."""
+    return files.repartition(max(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), files.sparkSession.sparkContext.defaultParallelism))
+
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for archive, content in zip(frame["path"], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+def archive_entries(spark: SparkSession, path: str, opener: Opener = open_file) -> DataFrame:
+    """(path, entry, size) of every file in the .zip archives, from their directories alone; an archive
+    without files fails the job."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive in batch.column(0).to_pylist():
+                with opener(archive) as f, zipfile.ZipFile(f) as z:
                     entries = [e for e in z.infolist() if not e.is_dir()]
-                    if not entries:
-                        raise BadRecord(f"{archive} holds no file")
-                    for e in entries:
-                        with z.open(e) as f:
-                            rows, n = [], 0
-                            for line in io.TextIOWrapper(f, "utf-8", newline=None):
-                                rows.append(line.rstrip("\n"))
-                                if len(rows) == 50_000:
-                                    yield _lines(archive, e.filename, n, rows)
-                                    n, rows = n + len(rows), []
-                            if rows:
-                                yield _lines(archive, e.filename, n, rows)
+                if not entries:
+                    raise BadRecord(f"{archive} holds no file")
+                yield pa.RecordBatch.from_pydict({"path": [archive] * len(entries), "entry": [e.filename for e in entries], "size": [e.file_size for e in entries]})
+
+    return _dealt(landed_files(spark, path, "*.zip").select("path")).mapInArrow(run, "path string, entry string, size long")
+
+
+def entry_lines(file: BinaryIO, archive: str, entry: str, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """The lines of one file of an archive, in batches, decompressed as they are read."""
+    with zipfile.ZipFile(file) as z, z.open(entry) as f:
+        lines, at = io.TextIOWrapper(f, "utf-8", newline=None), 0
+        while part := [x.rstrip("\n") for x in itertools.islice(lines, rows)]:
+            n = len(part)
+            yield pa.RecordBatch.from_arrays([pa.array([archive] * n), pa.array([entry] * n), pa.array(range(at, at + n), pa.int64()), pa.array(part)], names=["path", "entry", "row", "line"])
+            at += n
+
+
+def archive_lines(spark: SparkSession, path: str, opener: Opener = open_file) -> DataFrame:
+    """(archive, name, place, line) of every file in the .zip archives, names flattened to their last part.
+    A task reads one file of an archive at a time, as a stream, so that neither an archive nor a file in it
+    must fit in memory; an archive without files fails the job."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, entry in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with opener(archive) as f:
+                    yield from entry_lines(f, archive, entry)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
-    out = files.select("path", "content").mapInPandas(run, "archive string, name string, block long, row long, line string")
-    return out.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "name", F.struct("block", "row").alias("place"), "line")
+    entries = _dealt(archive_entries(spark, path, opener)).select("path", "entry")
+    out = entries.mapInArrow(run, "path string, entry string, row long, line string")
 
+    def last(c: str) -> Column:
+        return F.element_at(F.split(c, "/"), -1)
 
-def _lines(archive: str, entry: str, start: int, rows: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"archive": archive, "name": entry.rsplit("/", 1)[-1], "block": 0, "row": range(start, start + len(rows)), "line": rows})
+    return out.select(last("path").alias("archive"), last("entry").alias("name"), F.struct(F.lit(0).cast("long").alias("block"), "row").alias("place"), "line")
+
+
+def file_digests(spark: SparkSession, path: str, glob: str = "*.zip", opener: Opener = open_file) -> DataFrame:
+    """(name, sha256) of landed files, each read as a stream by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                digest = hashlib.sha256()
+                with opener(file) as f:
+                    while part := f.read(1 << 20):
+                        digest.update(part)
+                yield pa.RecordBatch.from_pydict({"name": [file.rsplit("/", 1)[-1]], "sha256": [digest.hexdigest()]})
+
+    return _dealt(landed_files(spark, path, glob).select("path")).mapInArrow(run, "name string, sha256 string")
 
 
 def manifest(listing: DataFrame, key: str = "key") -> DataFrame:
@@ -144,18 +223,21 @@ def landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", "length", F.col("modificationTime").alias("modified"))
 
 
-def checksums(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """(name, sha256, expected, status) of landed files and their sidecars, as ``verified`` gives them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+def checksums(spark: SparkSession, path: str, glob: str = "*.zip", opener: Opener = open_file) -> DataFrame:
+    """(name, sha256, expected, status) of landed files and their sidecars, as ``judged`` gives them."""
     sides = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.CHECKSUM").option("recursiveFileLookup", "true").text(path)
-    return verified(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), sides.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.CHECKSUM$", "").alias("name"), "value"))
+    return judged(file_digests(spark, path, glob, opener), sides.select(F.regexp_replace(file_name(), r"\.CHECKSUM$", "").alias("name"), "value"))
 
 
 def verified(files: DataFrame, sidecars: DataFrame) -> DataFrame:
-    """(name, sha256, expected, status) of files (name, content) by sidecars (name, value): 'valid',
-    'mismatch', 'empty' or 'missing' by the first word of the sidecar, in any case. Contents are hashed
-    before the join, so that only names and digests are shuffled."""
-    hashed = files.select("name", F.sha2("content", 256).alias("sha256"))
+    """``judged`` for files (name, content). Contents are hashed before the join, so that only names and
+    digests are shuffled."""
+    return judged(files.select("name", F.sha2("content", 256).alias("sha256")), sidecars)
+
+
+def judged(hashed: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """(name, sha256, expected, status) of files (name, sha256) by sidecars (name, value): 'valid',
+    'mismatch', 'empty' or 'missing' by the first word of the sidecar, in any case."""
     sides = sidecars.select("name", F.lower(F.element_at(F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " "), 1)).alias("expected"), F.lit(True).alias("found"))
     status = F.when(F.col("found").isNull(), "missing").when(F.col("expected") == "", "empty").when(F.col("expected") == F.col("sha256"), "valid").otherwise("mismatch")
     return hashed.join(sides, "name", "left").select("name", "sha256", "expected", status.alias("status"))
