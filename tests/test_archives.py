@@ -75,8 +75,8 @@ def test_unreadable_files_fail_their_symbol_alone(spark, tmp_path):
     size = os.path.getsize(files["A"])
     os.truncate(files["A"], size - 100)  # no footer
     with open(files["B"], "r+b") as f:  # pages overwritten, footer whole
-        f.seek(size // 4)
-        f.write(os.urandom(size // 3))
+        f.seek(size // 10)
+        f.write(os.urandom(size * 6 // 10))
     os.remove(files["C"])
     for f in files.values():
         crc = os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")
