@@ -20,8 +20,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), 20)
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    out = substring_dedup.remove_repeats_in_batches(_table(spark, sf_dir, "documents"), 20, digest=True)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ rows are settled there, so that a hot passage leaves it once. In a run, a finger
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 import zlib
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Words, delete_path, mix, runs_hash, slices, stored, text_buffers
+from .shared import Words, delete_path, mix, runs_hash, scratch_path, slices, stored, stored_alone, text_buffers
 
 #: Words of the runs that anchor a window.
 ANCHOR = 6
@@ -59,7 +60,8 @@ def _window_anchors(w: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def fingerprints(docs: DataFrame, length: int) -> DataFrame:
-    """(fp, id, pos): the anchors of each text's windows. ``docs`` has id and text."""
+    """(fp, id, crc, pos): the anchors of each text's windows. ``docs`` has id and text; crc is the text's
+    CRC-32, which tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,14 +71,15 @@ def fingerprints(docs: DataFrame, length: int) -> DataFrame:
                 runs, _, anchor = _window_anchors(w, length)
                 anchor = np.unique(anchor)
                 row = np.searchsorted(w.first, anchor, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(runs[anchor].view(np.int64)), batch.column(0).take(pa.array(row + a)), pa.array((anchor - w.first[row]).astype(np.int32))], ["fp", "id", "pos"])
+                crc = np.array([zlib.crc32(data[offsets[i] : offsets[i + 1]]) for i in range(a, b)], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(runs[anchor].view(np.int64)), batch.column(0).take(pa.array(row + a)), pa.array(crc[row]), pa.array((anchor - w.first[row]).astype(np.int32))], ["fp", "id", "crc", "pos"])
 
-    return docs.select("id", "text").mapInArrow(run, "fp long, id long, pos int")
+    return docs.select("id", "text").mapInArrow(run, "fp long, id long, crc long, pos int")
 
 
 #: Rows of one fingerprint, in a batch of rows, that go to one bucket of a run.
 HOT_ROWS = 1000
-_ANCHORS, _TEXTS = "key long, fp long, id long, pos int, salt int", "key long, id long, text string"
+_ANCHORS, _TEXTS = "key long, fp long, id long, crc long, pos int, batch long, salt int", "key long, id long, text string, batch long"
 
 
 def _key(fp: Column, salt: Column) -> Column:
@@ -96,15 +99,17 @@ def _salted(anchors: DataFrame) -> DataFrame:
             at = np.arange(len(fp))
             salt = np.empty(len(fp), np.int32)
             salt[order] = (at - np.maximum.accumulate(np.where(new, at, 0))) // most
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt)], ["fp", "id", "pos", "salt"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt)], ["fp", "id", "crc", "pos", "batch", "salt"])
 
-    rows = anchors.mapInArrow(run, "fp long, id long, pos int, salt int")
-    return rows.select(_key(F.col("fp"), F.col("salt")).alias("key"), "fp", "id", "pos", "salt")
+    rows = anchors.select("fp", "id", "crc", "pos", "batch").mapInArrow(run, "fp long, id long, crc long, pos int, batch long, salt int")
+    return rows.select(_key(F.col("fp"), F.col("salt")).alias("key"), "fp", "id", "crc", "pos", "batch", "salt")
 
 
 class FingerprintIndex:
     """The log: folders run-00000-B, run-00001-B, ... under ``path``, where B is the number of buckets. Each
-    holds anchors, in buckets by key and sorted by it, and texts, in buckets by a key made from their id."""
+    holds anchors, in buckets by key and sorted by it, texts, in buckets by a key made from their id, and the
+    names of its batches. A batch's own rows never count as earlier ones, and a batch that the log holds is
+    not added again, so that sending a batch twice, as after a failure, gives the same result."""
 
     def __init__(self, spark: SparkSession, path: str, length: int = 20, most_runs: int = 8, buckets: int | None = None):
         self.spark, self.path, self.length, self.most_runs = spark, path, length, most_runs
@@ -117,6 +122,11 @@ class FingerprintIndex:
         done = [s.getPath() for s in fs.listStatus(path(self.path))] if fs.exists(path(self.path)) else []
         return sorted(p.toString() for p in done if p.getName().startswith("run-") and fs.exists(path(p, "anchors/_SUCCESS")))
 
+    def batches(self) -> set[int]:
+        """The batches of all runs: one number a batch that was ever sent."""
+        runs = self.runs()
+        return {r.batch for r in self.spark.read.schema("batch long").parquet(*(f"{r}/batches" for r in runs)).collect()} if runs else set()
+
     def _read(self, run: str, part: str, columns: str) -> DataFrame:
         """A part of a run with its buckets, which only a catalog table makes known; it is dropped once read,
         and its files stay."""
@@ -134,23 +144,26 @@ class FingerprintIndex:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def _add(self, anchors: DataFrame, texts: DataFrame) -> None:
+    def _add(self, anchors: DataFrame, texts: DataFrame, batches: set[int]) -> None:
         runs = self.runs()
         run = f"{self.path}/run-{int(runs[-1].rsplit('-', 2)[1]) + 1 if runs else 0:05d}-{self.buckets}"
         delete_path(self.spark, run)  # what a crash may have left of it
+        self.spark.createDataFrame([(b,) for b in sorted(batches)], "batch long").coalesce(1).write.parquet(f"{run}/batches")
         self._write(texts, run, "texts")
         self._write(anchors, run, "anchors")
 
-    def append(self, docs: DataFrame, anchors: DataFrame) -> None:
-        """Add a batch (id, text) and its anchors (fp, id, pos) as a run."""
-        self._add(_salted(anchors), docs.select(F.xxhash64("id").alias("key"), "id", "text"))
+    def append(self, docs: DataFrame, anchors: DataFrame, batch: int) -> None:
+        """Add a batch (id, text) and its anchors (fp, id, crc, pos) as a run, unless the log has it."""
+        if batch not in self.batches():
+            number = F.lit(batch).cast("long").alias("batch")
+            self._add(_salted(anchors.select("*", number)), docs.select(F.xxhash64("id").alias("key"), "id", "text", number), {batch})
 
-    def matches(self, fps: DataFrame) -> DataFrame:
-        """(fp, id, pos) of the runs' anchors of the distinct fingerprints ``fps`` (fp). Runs are read bucket
-        by bucket, in place; only ``fps`` is dealt to the buckets."""
+    def matches(self, fps: DataFrame, batch: int) -> DataFrame:
+        """(fp, id, crc, pos) of the anchors, of other batches than ``batch``, of the distinct fingerprints
+        ``fps`` (fp). Runs are read bucket by bucket, in place; only ``fps`` is dealt to the buckets."""
         found = []
         for run in self.runs():
-            rows = self._read(run, "anchors", _ANCHORS)
+            rows = self._read(run, "anchors", _ANCHORS).where(F.col("batch") != batch)
             # the same exchange of the batch serves all runs
             found.append(rows.where("salt = 0").join(fps.select(F.col("fp").alias("key")).hint("merge"), "key"))
             more = rows.where("salt > 0")
@@ -158,14 +171,14 @@ class FingerprintIndex:
                 hot = more.groupBy("fp").agg(F.max("salt").alias("most"))
                 keys = fps.join(hot, "fp").select(F.col("fp").alias("wanted"), F.explode(F.sequence(F.lit(1), "most")).alias("s"))
                 found.append(more.join(keys.select(_key(F.col("wanted"), F.col("s")).alias("key"), "wanted").hint("merge"), "key").where("fp = wanted"))
-        return reduce(DataFrame.unionByName, [x.select("fp", "id", "pos") for x in found])
+        return reduce(DataFrame.unionByName, [x.select("fp", "id", "crc", "pos") for x in found])
 
-    def texts(self, ids: DataFrame) -> DataFrame:
-        """(id, text) of the documents ``ids`` (id) in the runs, which are read in place as well."""
+    def texts(self, ids: DataFrame, batch: int) -> DataFrame:
+        """(id, text) of the documents ``ids`` (id) in other batches, which are read in place as well."""
         keys = ids.select(F.xxhash64("id").alias("key"), F.col("id").isNull().alias("none")).distinct()
         # this hash has an inverse: two ids with one key are equal, unless one of them is null
         same = (F.col("id").isNull() & F.col("none")) | (F.col("id").isNotNull() & ~F.col("none"))
-        found = [self._read(run, "texts", _TEXTS).join(keys.hint("merge"), "key").where(same).select("id", "text") for run in self.runs()]
+        found = [self._read(run, "texts", _TEXTS).where(F.col("batch") != batch).join(keys.hint("merge"), "key").where(same).select("id", "text") for run in self.runs()]
         return reduce(DataFrame.unionByName, found)
 
     def compact(self) -> None:
@@ -174,7 +187,7 @@ class FingerprintIndex:
         runs = self.runs()
         if len(runs) > 1:
             anchors, texts = (reduce(DataFrame.unionByName, [self._read(run, part, columns) for run in runs]) for part, columns in (("anchors", _ANCHORS), ("texts", _TEXTS)))
-            self._add(anchors, texts)
+            self._add(anchors, texts, self.batches())
             for run in runs:
                 delete_path(self.spark, run)
 
@@ -370,15 +383,16 @@ def _without(docs: DataFrame, length: int, spaced: bool) -> DataFrame:
     return source.mapInArrow(run, T.StructType().add("id", "long").add("n_words", "long").add("n_removed", "long").add("kept_text", "string").add(source.schema["rest"]))
 
 
-def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, batch_name: str | None = None) -> DataFrame:
     """(id, n_words, n_removed, kept_text) and the columns ``keep``: each row of ``docs`` without the words covered by a window
     whose word sequence also starts earlier: in a document of an earlier batch that ``index`` has seen, in
     one of a smaller id, or further to the front of the same document. Windows are judged on the input.
     kept_text has one space between words or, if ``spaced``, the white space that stood before them.
 
     The batch's fingerprints are written as a run, and merged with themselves and with the runs of
-    ``index``, if one is given; it then keeps the batch for later ones, and is compacted when it has too many
-    runs. A null, empty or wordless text has 0 words and an empty kept_text; a null id is
+    ``index``, if one is given; it is compacted first when it has too many runs, and then keeps the batch for
+    later ones. ``batch_name`` makes a batch that is sent again the same batch: without one, every call is a
+    new batch. A null, empty or wordless text has 0 words and an empty kept_text; a null id is
     smaller than all others; rows that repeat an id are one document, and none of them is earlier than
     another at the same word; texts with fewer than ``length`` words stay whole; an empty table gives an
     empty result; other columns are not read. Ids are read as bigint.
@@ -391,33 +405,63 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
     def plain(df: DataFrame, age: int) -> DataFrame:
         return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(age).alias("age"))
 
+    number = int.from_bytes(hashlib.sha256((batch_name or uuid.uuid4().hex).encode()).digest()[:7])
+    if index and len(index.runs()) >= index.most_runs:
+        index.compact()
     batch, old = plain(docs, 1), index.runs() if index else []
     whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(1).alias("age"), rest.alias("rest")) if keep else batch
     # each task sorts what it has read: nothing is shuffled to write the batch's run
     run = stored(fingerprints(batch, length).sortWithinPartitions("fp"), "fingerprints")
     every, texts = run.withColumn("age", F.lit(1)), batch
     if old:
-        earlier = stored(index.matches(run.select("fp").distinct()), "matches")
+        earlier = stored(index.matches(run.select("fp").distinct(), number), "matches")
         every = every.unionByName(earlier.withColumn("age", F.lit(0)))
-        texts = batch.unionByName(stored(index.texts(earlier.select("id")), "matching-texts").withColumn("age", F.lit(0)))
+        texts = batch.unionByName(stored(index.texts(earlier.select("id"), number), "matching-texts").withColumn("age", F.lit(0)))
     if index:
-        index.append(batch.select("id", "text"), run)
+        index.append(batch.select("id", "text"), run, number)
     # at least one occurrence must be new for anything to be removed
     repeated = stored(every.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.max("age").alias("newest")).where("n > 1 AND newest = 1").select("fp"), "repeated-fingerprints")
-    places = every.join(repeated, "fp").groupBy(F.col("id").alias("pid"), F.col("age").alias("page")).agg(F.collect_list("pos").alias("pos"))
-    same = F.col("id").eqNullSafe(F.col("pid"))
-    at = same & (F.col("age") == F.col("page"))
+    # a list belongs to one text of an id, and repeated rows of that text share it: it never outgrows the text
+    texts, whole = (df.withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))) for df in (texts, whole))
+    places = every.join(repeated, "fp").groupBy(F.col("id").alias("pid"), F.col("age").alias("page"), F.col("crc").alias("pcrc")).agg(F.collect_set("pos").alias("pos"))
+    at = F.col("id").eqNullSafe(F.col("pid")) & (F.col("age") == F.col("page")) & (F.col("crc") == F.col("pcrc"))
 
     def listed(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy(F.col("id").alias("pid"), F.col("age").alias("page")).agg(F.collect_list(F.struct("loc", "n")).alias(name))
+        crc = F.col("loc").bitwiseAND(F.lit((1 << 32) - 1)).alias("pcrc")
+        return rows.groupBy(F.col("id").alias("pid"), F.col("age").alias("page"), crc).agg(F.collect_set(F.struct("loc", "n")).alias(name))
 
-    # the texts' exchange by id serves all three joins
+    # the texts' exchange by id and CRC serves all three joins
     units = _judged(_units(texts.join(places, at), length))
     single = _judged(_windows(texts.join(listed(units.where("deep"), "units"), at), length))
     repeats = listed(units.where("NOT deep").unionByName(single.where("NOT deep")), "locs")
     marked = whole.join(repeats, at, "left")
     out = _without(marked if keep else marked.withColumn("rest", rest), length, spaced)
     out = out.select("id", "n_words", "n_removed", "kept_text", *(F.col(f"rest.k{i}").alias(f"__k{i}") for i in range(len(keep))))
-    if len(old) >= (index.most_runs if index else 1):
-        index.compact()
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept_text", *(F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)))
+
+
+def remove_repeats_in_batches(docs: DataFrame, length: int = 20, batches: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, digest: bool = False) -> DataFrame:
+    """``remove_repeats`` of a whole table through an index of its own: ranges of ids of about equal size go
+    in as batches, smaller ids first, so that earlier batches hold the earlier documents. The index is
+    compacted before the last batch. With ``digest``, kept_text is replaced by its SHA-256 (kept_sha256).
+
+    Null ids are in the first batch, and all rows of an id in one. Each batch's result is written down; its
+    intermediate tables, and the index at the end, go again."""
+    spark = docs.sparkSession
+    index = FingerprintIndex(spark, scratch_path(spark, "fingerprint-index"), length, most_runs=max(batches - 1, 1))
+    id_ = F.col(f"`{id_col}`").cast("long")
+    cuts = docs.agg(F.percentile_approx(id_, [k / batches for k in range(1, batches)], 10_000).alias("q")).first().q if batches > 1 else []
+    bounds, done = sorted(set(cuts or [])), []
+    for k in range(len(bounds) + 1):
+        low = (id_ > bounds[k - 1]) if k else F.lit(True)
+        high = (id_ <= bounds[k]) if k < len(bounds) else F.lit(True)
+        part = docs.where((low & high) | (id_.isNull() if k == 0 else F.lit(False)))
+
+        def batch(part: DataFrame = part, k: int = k) -> DataFrame:
+            out = remove_repeats(part, length, index, id_col, text_col, keep, spaced, f"batch {k}")
+            return out.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text") if digest else out
+
+        done.append(stored_alone(batch, "batch"))
+        spark._jvm.System.gc()  # shuffle files of finished jobs go once the driver has forgotten their plans
+    delete_path(spark, index.path)
+    return reduce(DataFrame.unionByName, done)
