@@ -152,7 +152,7 @@ def test_batches_against_the_index(spark, tmp_path, monkeypatch, hot):
         want, seen = _without_repeats(batch, 20, seen)
         df = spark.createDataFrame(batch, "doc_id long, text string")
         assert _result(substring_dedup.remove_repeats(df, 20, index)) == sorted(want, key=repr)
-        assert len(index.runs()) == (1 if k == 2 else k + 1)  # compacted at the third
+        assert len(index.runs()) == min(k + 1, 2)  # compacted before the third
     # another session's index, its tables no longer known to the catalog
     again = substring_dedup.FingerprintIndex(spark, f"file://{tmp_path}/index", 20)
     got = _result(substring_dedup.remove_repeats(df, 20, again))
@@ -162,6 +162,46 @@ def test_batches_against_the_index(spark, tmp_path, monkeypatch, hot):
     assert not [t for t in spark.catalog.listTables() if "tidemark" in t.name]
 
 
+def test_a_batch_that_is_sent_again_gives_the_same_result(spark, tmp_path):
+    index, seen = substring_dedup.FingerprintIndex(spark, f"file://{tmp_path}/index", 20, most_runs=2), ()
+    for k, batch in enumerate(_batches()):
+        want, seen = _without_repeats(batch, 20, seen)
+        df = spark.createDataFrame(batch, "doc_id long, text string")
+        for _ in range(2):  # the third batch meets a compacted run, and so does its replay
+            assert _result(substring_dedup.remove_repeats(df, 20, index, batch_name=f"b{k}")) == sorted(want, key=repr)
+    first, _ = _without_repeats(_batches()[0], 20)
+    index.compact()
+    assert len(index.batches()) == 3 and len(index.runs()) == 1
+    # the first batch once more sees only the others: what repeats there is new to it, but now comes later
+    got = _result(substring_dedup.remove_repeats(spark.createDataFrame(_batches()[0], "doc_id long, text string"), 20, index, batch_name="b0"))
+    assert [x[:2] for x in got] == [x[:2] for x in sorted(first, key=repr)] and len(index.batches()) == 3
+
+
+@pytest.mark.parametrize("batches", [1, 3, 5])
+def test_whole_tables_go_through_a_compacted_index(spark, docs, monkeypatch, batches):
+    compacted, compact = [], substring_dedup.FingerprintIndex.compact
+    monkeypatch.setattr(substring_dedup.FingerprintIndex, "compact", lambda self: (compacted.append(len(self.runs())), compact(self)))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want, _ = _without_repeats(list(dict.fromkeys(rows)), 20)
+    got = substring_dedup.remove_repeats_in_batches(docs, 20, batches)
+    assert sorted(set(_result(got)), key=repr) == sorted(want, key=repr) and got.count() == len(rows)
+    assert compacted == ([batches - 1] if batches > 1 else [])
+    digests = {(r.doc_id, r.kept_sha256) for r in substring_dedup.remove_repeats_in_batches(docs, 20, batches, digest=True).collect()}
+    assert digests == {(d, hashlib.sha256(kept.encode()).hexdigest()) for d, _, _, kept in want}
+    assert substring_dedup.remove_repeats_in_batches(docs.limit(0), 20, batches).count() == 0
+
+
+def test_thousands_of_rows_of_one_id(spark):
+    """Each text of an id has its own list, and repeated rows of a text share one."""
+    passage = " ".join(words(3, 40))
+    texts = [" ".join(words(1000 + i, 150, 10**6)) + (" " + passage if i % 2 else "") for i in range(2500)]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(None, texts[1])] * 2500 + [(7, passage)], "doc_id long, text string").repartition(4)
+    got = {}
+    for r in substring_dedup.remove_repeats(df).collect():
+        got.setdefault((r.doc_id, r.n_words), set()).add(r.n_removed)
+    assert got == {(None, 150): {0}, (None, 190): {0}, (7, 40): {40}}
+
+
 def test_a_batch_does_not_shuffle_the_index(spark, tmp_path):
     """Shuffled bytes follow the batch, not the runs it is merged with."""
     index, spent = substring_dedup.FingerprintIndex(spark, f"file://{tmp_path}/index", 20), []
