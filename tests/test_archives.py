@@ -89,6 +89,44 @@ def test_unreadable_files_fail_their_symbol_alone(spark, tmp_path):
     assert quality.summary(tables.integrity_report(spark, path, TRADES, F.col("price") < 0)).first().n_failed == 3
 
 
+def test_incremental_reports_read_new_parts_only(spark, tmp_path, monkeypatch):
+    path, seen, frame = str(tmp_path / "t"), [], tables._frame
+    tables.replace(_trades(spark, [(s, i, float(i % 5), JAN + i * DAY) for s in "AB" for i in range(50)]), path, TRADES)
+
+    def watched(*a, **kw):
+        df = frame(*a, **kw)
+        if kw.get("data"):
+            seen.append(sorted({f.split("symbol=")[1].split("/part")[0] for f in df.inputFiles()}))
+        return df
+
+    monkeypatch.setattr(tables, "_frame", watched)
+
+    def both(**kw):
+        args = (spark, path, TRADES, F.col("price") < 1)
+        full, part = tables.integrity_report(*args, **kw), tables.incremental_report(*args, "r", **kw)
+        assert rows(part) == rows(full.select(*part.columns))
+        return part
+
+    both()
+    both()
+    tables.upsert_table(spark, _trades(spark, [("A", 3, 0.0, JAN + 5), ("A", 900, 7.0, JAN + 9 * DAY)]), path, TRADES)
+    both()
+    tables.append(_trades(spark, [("B", 99, 0.0, FEB + 90 * DAY)]), path, TRADES)
+    tables.drop_symbols(spark, spark.createDataFrame([("Spot", "a")], "market string, symbol string"), path)
+    both()
+    every = [f"{s}/month=2024-0{m}" for s in "AB" for m in (1, 2)]
+    assert seen == [every, [], ["A/month=2024-01"], ["B/month=2024-05"]]
+    file = next(f.removeprefix("file://") for f in tables.read(spark, path, TRADES).inputFiles() if "2024-05" in f)
+    tables.append(_trades(spark, [("C", 1, 0.0, FEB)]), path, TRADES)
+    broken = next(f.removeprefix("file://") for f in tables.read(spark, path, TRADES).inputFiles() if "symbol=C" in f)
+    content = open(broken, "rb").read()
+    os.remove(os.path.join(os.path.dirname(broken), f".{os.path.basename(broken)}.crc"))
+    os.truncate(broken, 10)
+    assert [r.failed for r in both().orderBy("symbol").collect()] == [False, True] and os.path.exists(file)
+    open(broken, "wb").write(content)  # mended: looked at again
+    assert not any(r.failed for r in both().collect()) and seen[-2:] == [["C/month=2024-02"]] * 2
+
+
 def test_reports_name_what_the_universe_lacks(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace(_trades(spark, [("A", 1, 1.0, JAN)]), path, TRADES)

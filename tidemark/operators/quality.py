@@ -78,9 +78,19 @@ def integrity_report(universe: DataFrame, df: DataFrame, groups: Sequence[str],
 
     One scan and one shuffle of partial counts by group and day give everything; a group's days then come
     together as one list, of as many entries as it has days."""
+    daily = daily_counts(df, groups, invalid, checked, time, units_per_day, unreadable)
+    return report_of(universe, daily, groups, checked, shown, rows, zeros, days, expected)
+
+
+def daily_counts(df: DataFrame, groups: Sequence[str], invalid: Column, checked: Sequence[str], time: str, units_per_day: int, unreadable: Column | None = None) -> DataFrame:
+    """A report's counts by group and ``__day``: they can be kept, and added up with those of other rows."""
     day = F.when(F.col(time) > 0, day_number(F.col(time), units_per_day))
     failed = F.lit(False) if unreadable is None else F.coalesce(unreadable, F.lit(False))
-    daily = row_counts(df.withColumns({"__day": day, "__failed": failed}), [*groups, "__day"], invalid, checked, [F.max("__failed").alias("failed")])
+    return row_counts(df.withColumns({"__day": day, "__failed": failed}), [*groups, "__day"], invalid, checked, [F.max("__failed").alias("failed")])
+
+
+def report_of(universe: DataFrame, daily: DataFrame, groups: Sequence[str], checked: Sequence[str], shown: int = SHOWN_DAYS, rows: bool = True, zeros: bool = True, days: bool = True, expected: DataFrame | None = None) -> DataFrame:
+    """``integrity_report`` from daily counts, of which each group has one row a day."""
     sums = [F.sum(c).alias(c) for c in daily.columns if c not in (*groups, "__day", "failed")]
     counts = daily.groupBy(*groups).agg(*sums, F.max("failed").alias("failed"), F.array_sort(F.collect_list("__day")).alias("days"))
     names = F.array_join(F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(_all_zero(c), F.lit(c)) for c in checked))), ",")

@@ -160,6 +160,18 @@ def failed_tables(spark: SparkSession, d: str) -> DataFrame:
     return report.select("symbol", F.when(~F.col("failed"), F.col("n_rows")).alias("n_rows"), "failed", "n_invalid").join(F.broadcast(total))
 
 
+@query(f"""
+WITH x AS (SELECT event_type AS symbol, CASE WHEN event_id % 9 = 0 THEN 0 ELSE value END AS price, event_id % 9 = 0 AS moved, ts FROM events),
+y AS (SELECT symbol, price, epoch_us(ts) + CASE WHEN moved THEN 40 * {DAY_US} ELSE 0 END AS t FROM x), z AS (SELECT symbol, t // {DAY_US} AS day FROM y GROUP BY ALL)
+SELECT symbol, count(*)::BIGINT AS n_rows, count(*) FILTER (price < 5)::BIGINT AS n_invalid, (SELECT max(day) - min(day) + 1 - count(*) FROM z WHERE z.symbol = y.symbol)::BIGINT AS n_missing FROM y GROUP BY 1""")
+def incremental_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report again after an upsert: only the partitions that it has written are scanned."""
+    path = _written(spark, d)
+    tables.incremental_report(spark, path, TRADES, F.col("price") < 5, "daily")
+    tables.upsert_table(spark, _rows(spark, d).where(_id(9) == 0).withColumns({"price": F.lit(0.0), "transact_time": F.col("transact_time") + 40 * DAY_US}), path, TRADES)
+    return tables.incremental_report(spark, path, TRADES, F.col("price") < 5, "daily").select("symbol", "n_rows", "n_invalid", "n_missing")
+
+
 @query("SELECT event_type AS symbol, strftime(ts, '%Y-%m') AS month, (count(*) + count(*) FILTER (event_id % 2 = 0) + count(*) FILTER (event_id % 3 = 0))::BIGINT AS n_rows, 1::BIGINT AS n_parts FROM events GROUP BY 1, 2")
 def compacted(spark: SparkSession, d: str) -> DataFrame:
     """Appends leave parts that overlap; afterwards each partition is one part."""

@@ -153,15 +153,17 @@ def _folders(spark: SparkSession, path: str, found: Snapshot, wanted: Iterable[P
     return whole + [f"{path}/v={data}/{partition_path(spark, *p)}" for (data, among), some in each.items() if len(some) < among for p in sorted(some, key=str)]
 
 
-def _frame(spark: SparkSession, path: str, kind: DataType, found: Snapshot, wanted: Iterable[Place] | None = None, tolerant: bool = False) -> DataFrame:
+def _frame(spark: SparkSession, path: str, kind: DataType, found: Snapshot, wanted: Iterable[Place] | None = None, tolerant: bool = False, data: bool = False) -> DataFrame:
     folders = _folders(spark, path.rstrip("/"), found, wanted)
+    schema = _schema(kind).add("v", "string")
+    names = schema.names if data else _schema(kind).names
     if not folders:
-        return spark.createDataFrame([], _schema(kind))
-    reader = spark.read.schema(_schema(kind).add("v", "string")).option("basePath", path.rstrip("/"))
+        return spark.createDataFrame([], schema).select(*names)
+    reader = spark.read.schema(schema).option("basePath", path.rstrip("/"))
     if tolerant:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     rows = reader.parquet(*folders)
-    return rows.select(*_schema(kind).names)
+    return rows.select(*names)
 
 
 def read(spark: SparkSession, path: str, kind: DataType, version: int | None = None) -> DataFrame:
@@ -181,6 +183,31 @@ def integrity_report(spark: SparkSession, path: str, kind: DataType, invalid: Co
     return quality.integrity_report(universe, rows, ["market", "symbol"], invalid, kind.checked, kind.time, kind.units_per_day, expected=known, **checks)
 
 
+def incremental_report(spark: SparkSession, path: str, kind: DataType, invalid: Column, name: str, universe: DataFrame | None = None, **checks) -> DataFrame:
+    """``integrity_report`` that reads only what has been written since the last one of that ``name``.
+
+    Counts by day are kept for every part of a partition; parts never change, so only new ones are scanned,
+    and counts of parts that no longer belong to the table are left out. Counts of a part that could not be
+    read whole are not kept. Other rules for ``invalid`` need another name."""
+    found = versions.snapshot(spark, path)
+    folder = f"{path.rstrip('/')}/_reports/{name}"
+    part = ["v", "market", "symbol", "month"]
+    needed = spark.createDataFrame([(x.data, *p, x.rows) for p, parts in found.parts.items() for x in parts], "v string, market string, symbol string, month string, n_expected long")
+    kept = spark.read.parquet(f"{folder}/*") if path_exists(spark, folder) else None
+    known = {tuple(r) for r in kept.select(*part).distinct().collect()} if kept is not None else set()  # one row a part
+    fresh = {p: tuple(x for x in parts if (x.data, *p) not in known) for p, parts in found.parts.items()}
+    rows = _frame(spark, path, kind, Snapshot(found.version, {p: x for p, x in fresh.items() if x}), tolerant=True, data=True)
+    new = stored(quality.daily_counts(rows, part, invalid, kind.checked, kind.time, kind.units_per_day), "report-counts")
+    whole = new.groupBy(*part).agg(F.sum("n_rows").alias("n")).join(needed, part).where("n = n_expected").select(*part)
+    new.join(whole, part, "left_semi").coalesce(1).write.parquet(f"{folder}/{uuid.uuid4().hex}")
+    every = new if kept is None else new.unionByName(kept.join(needed, part, "left_semi").select(*new.columns))
+    groups = ["market", "symbol"]
+    sums = [F.sum(c).alias(c) for c in new.columns if c not in (*part, "__day", "failed")]
+    daily = every.groupBy(*groups, "__day").agg(*sums, F.max("failed").alias("failed"))
+    expected = needed.groupBy(*groups).agg(F.sum("n_expected").alias("n_expected"))
+    return quality.report_of(expected if universe is None else universe, daily, groups, kind.checked, expected=expected, **checks)
+
+
 def fragmented(found: Snapshot, small_rows: int) -> list[Place]:
     """Partitions with more than one part, where parts are small or overlap in time."""
     out = []
