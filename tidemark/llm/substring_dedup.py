@@ -17,6 +17,7 @@ rows are settled there, so that a hot passage leaves it once. In a run, a finger
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 import uuid
@@ -79,7 +80,7 @@ def fingerprints(docs: DataFrame, length: int) -> DataFrame:
 
 #: Rows of one fingerprint, in a batch of rows, that go to one bucket of a run.
 HOT_ROWS = 1000
-_ANCHORS, _TEXTS = "key long, fp long, id long, crc long, pos int, batch long, salt int", "key long, id long, text string, batch long"
+_ANCHORS, _TEXTS = "key long, fp long, id long, crc long, pos int, batch long, salt int", "key long, id long, text string"
 
 
 def _key(fp: Column, salt: Column) -> Column:
@@ -107,8 +108,9 @@ def _salted(anchors: DataFrame) -> DataFrame:
 
 class FingerprintIndex:
     """The log: folders run-00000-B, run-00001-B, ... under ``path``, where B is the number of buckets. Each
-    holds anchors, in buckets by key and sorted by it, texts, in buckets by a key made from their id, and the
-    names of its batches. A batch's own rows never count as earlier ones, and a batch that the log holds is
+    holds anchors, in buckets by key and sorted by it, and the names of its batches; merging runs rewrites
+    these alone. Folders texts-N-B hold the texts of batch N, in buckets by a key made from their id, and stay
+    as they are. A batch's own rows never count as earlier ones, and a batch that the log holds is
     not added again, so that sending a batch twice, as after a failure, gives the same result."""
 
     def __init__(self, spark: SparkSession, path: str, length: int = 20, most_runs: int = 8, buckets: int | None = None):
@@ -127,43 +129,47 @@ class FingerprintIndex:
         runs = self.runs()
         return {r.batch for r in self.spark.read.schema("batch long").parquet(*(f"{r}/batches" for r in runs)).collect()} if runs else set()
 
-    def _read(self, run: str, part: str, columns: str) -> DataFrame:
-        """A part of a run with its buckets, which only a catalog table makes known; it is dropped once read,
+    def _read(self, folder: str, buckets: int, columns: str) -> DataFrame:
+        """A folder of the log with its buckets, which only a catalog table makes known; it is dropped once read,
         and its files stay."""
-        name = f"tidemark_{part}_{uuid.uuid4().hex[:12]}"
-        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {int(run.rsplit('-', 1)[1])} BUCKETS LOCATION '{run}/{part}'")
+        name = f"tidemark_log_{uuid.uuid4().hex[:12]}"
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {buckets} BUCKETS LOCATION '{folder}'")
         try:
             return self.spark.table(name)
         finally:
             self.spark.sql(f"DROP TABLE {name}")
 
-    def _write(self, rows: DataFrame, run: str, part: str) -> None:
-        name = f"tidemark_{part}_{uuid.uuid4().hex[:12]}"
+    def _anchors(self, run: str) -> DataFrame:
+        return self._read(f"{run}/anchors", int(run.rsplit("-", 1)[1]), _ANCHORS)
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        name = f"tidemark_log_{uuid.uuid4().hex[:12]}"
         try:
-            rows.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{run}/{part}").saveAsTable(name)
+            rows.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key").option("path", folder).saveAsTable(name)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def _add(self, anchors: DataFrame, texts: DataFrame, batches: set[int]) -> None:
+    def _add(self, anchors: DataFrame, batches: set[int]) -> None:
         runs = self.runs()
         run = f"{self.path}/run-{int(runs[-1].rsplit('-', 2)[1]) + 1 if runs else 0:05d}-{self.buckets}"
         delete_path(self.spark, run)  # what a crash may have left of it
         self.spark.createDataFrame([(b,) for b in sorted(batches)], "batch long").coalesce(1).write.parquet(f"{run}/batches")
-        self._write(texts, run, "texts")
-        self._write(anchors, run, "anchors")
+        self._write(anchors, f"{run}/anchors")
 
     def append(self, docs: DataFrame, anchors: DataFrame, batch: int) -> None:
         """Add a batch (id, text) and its anchors (fp, id, crc, pos) as a run, unless the log has it."""
         if batch not in self.batches():
-            number = F.lit(batch).cast("long").alias("batch")
-            self._add(_salted(anchors.select("*", number)), docs.select(F.xxhash64("id").alias("key"), "id", "text", number), {batch})
+            texts = f"{self.path}/texts-{batch}-{self.buckets}"
+            delete_path(self.spark, texts)
+            self._write(docs.select(F.xxhash64("id").alias("key"), "id", "text"), texts)
+            self._add(_salted(anchors.select("*", F.lit(batch).cast("long").alias("batch"))), {batch})
 
     def matches(self, fps: DataFrame, batch: int) -> DataFrame:
         """(fp, id, crc, pos) of the anchors, of other batches than ``batch``, of the distinct fingerprints
         ``fps`` (fp). Runs are read bucket by bucket, in place; only ``fps`` is dealt to the buckets."""
         found = []
         for run in self.runs():
-            rows = self._read(run, "anchors", _ANCHORS).where(F.col("batch") != batch)
+            rows = self._anchors(run).where(F.col("batch") != batch)
             # the same exchange of the batch serves all runs
             found.append(rows.where("salt = 0").join(fps.select(F.col("fp").alias("key")).hint("merge"), "key"))
             more = rows.where("salt > 0")
@@ -178,16 +184,20 @@ class FingerprintIndex:
         keys = ids.select(F.xxhash64("id").alias("key"), F.col("id").isNull().alias("none")).distinct()
         # this hash has an inverse: two ids with one key are equal, unless one of them is null
         same = (F.col("id").isNull() & F.col("none")) | (F.col("id").isNotNull() & ~F.col("none"))
-        found = [self._read(run, "texts", _TEXTS).where(F.col("batch") != batch).join(keys.hint("merge"), "key").where(same).select("id", "text") for run in self.runs()]
-        return reduce(DataFrame.unionByName, found)
+        known = {str(b) for b in self.batches()} - {str(batch)}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName().split("-") for s in fs.listStatus(path(self.path))]
+        folders = [(f"{self.path}/{'-'.join(n)}", int(n[2])) for n in names if n[0] == "texts" and n[1] in known]
+        found = [self._read(folder, buckets, _TEXTS).join(keys.hint("merge"), "key").where(same).select("id", "text") for folder, buckets in folders]
+        return reduce(DataFrame.unionByName, found) if found else ids.select("id", F.lit("").alias("text")).limit(0)
 
     def compact(self) -> None:
-        """Merge all runs into one. Old runs go once the new one is complete; a run that a crash leaves behind
+        """Merge the anchors of all runs into one run. Old runs go once the new one is complete; a run that a crash leaves behind
         repeats rows, which changes no result."""
         runs = self.runs()
         if len(runs) > 1:
-            anchors, texts = (reduce(DataFrame.unionByName, [self._read(run, part, columns) for run in runs]) for part, columns in (("anchors", _ANCHORS), ("texts", _TEXTS)))
-            self._add(anchors, texts, self.batches())
+            self._add(reduce(DataFrame.unionByName, map(self._anchors, runs)), self.batches())
             for run in runs:
                 delete_path(self.spark, run)
 
@@ -383,6 +393,13 @@ def _without(docs: DataFrame, length: int, spaced: bool) -> DataFrame:
     return source.mapInArrow(run, T.StructType().add("id", "long").add("n_words", "long").add("n_removed", "long").add("kept_text", "string").add(source.schema["rest"]))
 
 
+def forget_plans(spark: SparkSession) -> None:
+    """Let the plans of finished jobs go, on both sides of the driver: Spark deletes shuffle files when the
+    plans that wrote them have been collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, batch_name: str | None = None) -> DataFrame:
     """(id, n_words, n_removed, kept_text) and the columns ``keep``: each row of ``docs`` without the words covered by a window
     whose word sequence also starts earlier: in a document of an earlier batch that ``index`` has seen, in
@@ -408,6 +425,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
     number = int.from_bytes(hashlib.sha256((batch_name or uuid.uuid4().hex).encode()).digest()[:7])
     if index and len(index.runs()) >= index.most_runs:
         index.compact()
+        forget_plans(docs.sparkSession)
     batch, old = plain(docs, 1), index.runs() if index else []
     whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(1).alias("age"), rest.alias("rest")) if keep else batch
     # each task sorts what it has read: nothing is shuffled to write the batch's run
@@ -462,6 +480,6 @@ def remove_repeats_in_batches(docs: DataFrame, length: int = 20, batches: int =
             return out.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text") if digest else out
 
         done.append(stored_alone(batch, "batch"))
-        spark._jvm.System.gc()  # shuffle files of finished jobs go once the driver has forgotten their plans
+        forget_plans(spark)
     delete_path(spark, index.path)
     return reduce(DataFrame.unionByName, done)
