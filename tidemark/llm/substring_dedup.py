@@ -103,7 +103,9 @@ def _salted(anchors: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt)], ["fp", "id", "crc", "pos", "batch", "salt"])
 
     rows = anchors.select("fp", "id", "crc", "pos", "batch").mapInArrow(run, "fp long, id long, crc long, pos int, batch long, salt int")
-    return rows.select(_key(F.col("fp"), F.col("salt")).alias("key"), "fp", "id", "crc", "pos", "batch", "salt")
+    # a key that is the fingerprint is not written twice
+    own = F.when(F.col("salt") > 0, F.col("fp")).alias("fp")
+    return rows.select(_key(F.col("fp"), F.col("salt")).alias("key"), own, "id", "crc", "pos", "batch", "salt")
 
 
 class FingerprintIndex:
@@ -171,7 +173,7 @@ class FingerprintIndex:
         for run in self.runs():
             rows = self._anchors(run).where(F.col("batch") != batch)
             # the same exchange of the batch serves all runs
-            found.append(rows.where("salt = 0").join(fps.select(F.col("fp").alias("key")).hint("merge"), "key"))
+            found.append(rows.where("salt = 0").drop("fp").join(fps.select(F.col("fp").alias("key")).hint("merge"), "key").withColumnRenamed("key", "fp"))
             more = rows.where("salt > 0")
             if not more.isEmpty():
                 hot = more.groupBy("fp").agg(F.max("salt").alias("most"))
@@ -393,6 +395,11 @@ def _without(docs: DataFrame, length: int, spaced: bool) -> DataFrame:
     return source.mapInArrow(run, T.StructType().add("id", "long").add("n_words", "long").add("n_removed", "long").add("kept_text", "string").add(source.schema["rest"]))
 
 
+def batch_number(name: str) -> int:
+    """The number by which the log knows a batch."""
+    return int.from_bytes(hashlib.sha256(name.encode()).digest()[:7])
+
+
 def forget_plans(spark: SparkSession) -> None:
     """Let the plans of finished jobs go, on both sides of the driver: Spark deletes shuffle files when the
     plans that wrote them have been collected."""
@@ -400,7 +407,7 @@ def forget_plans(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, batch_name: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, batch_name: str | None = None, add: bool = True) -> DataFrame:
     """(id, n_words, n_removed, kept_text) and the columns ``keep``: each row of ``docs`` without the words covered by a window
     whose word sequence also starts earlier: in a document of an earlier batch that ``index`` has seen, in
     one of a smaller id, or further to the front of the same document. Windows are judged on the input.
@@ -408,8 +415,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
 
     The batch's fingerprints are written as a run, and merged with themselves and with the runs of
     ``index``, if one is given; it is compacted first when it has too many runs, and then keeps the batch for
-    later ones. ``batch_name`` makes a batch that is sent again the same batch: without one, every call is a
-    new batch. A null, empty or wordless text has 0 words and an empty kept_text; a null id is
+    later ones, unless ``add`` is false and the caller appends it once the result is written. ``batch_name``
+    makes a batch that is sent again the same batch: without one, every call is a new batch. A null, empty or wordless text has 0 words and an empty kept_text; a null id is
     smaller than all others; rows that repeat an id are one document, and none of them is earlier than
     another at the same word; texts with fewer than ``length`` words stay whole; an empty table gives an
     empty result; other columns are not read. Ids are read as bigint.
@@ -422,7 +429,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
     def plain(df: DataFrame, age: int) -> DataFrame:
         return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(age).alias("age"))
 
-    number = int.from_bytes(hashlib.sha256((batch_name or uuid.uuid4().hex).encode()).digest()[:7])
+    number = batch_number(batch_name or uuid.uuid4().hex)
     if index and len(index.runs()) >= index.most_runs:
         index.compact()
         forget_plans(docs.sparkSession)
@@ -434,8 +441,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
     if old:
         earlier = stored(index.matches(run.select("fp").distinct(), number), "matches")
         every = every.unionByName(earlier.withColumn("age", F.lit(0)))
-        texts = batch.unionByName(stored(index.texts(earlier.select("id"), number), "matching-texts").withColumn("age", F.lit(0)))
-    if index:
+        texts = batch.unionByName(index.texts(earlier.select("id"), number).withColumn("age", F.lit(0)))
+    if index and add:
         index.append(batch.select("id", "text"), run, number)
     # at least one occurrence must be new for anything to be removed
     repeated = stored(every.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.max("age").alias("newest")).where("n > 1 AND newest = 1").select("fp"), "repeated-fingerprints")
@@ -476,10 +483,13 @@ def remove_repeats_in_batches(docs: DataFrame, length: int = 20, batches: int =
         part = docs.where((low & high) | (id_.isNull() if k == 0 else F.lit(False)))
 
         def batch(part: DataFrame = part, k: int = k) -> DataFrame:
-            out = remove_repeats(part, length, index, id_col, text_col, keep, spaced, f"batch {k}")
+            out = remove_repeats(part, length, index, id_col, text_col, keep, spaced, f"batch {k}", add=False)
             return out.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text") if digest else out
 
         done.append(stored_alone(batch, "batch"))
         forget_plans(spark)
+        plain = part.select(id_.alias("id"), F.col(f"`{text_col}`").alias("text"))
+        index.append(plain, fingerprints(plain, length), batch_number(f"batch {k}"))
+        forget_plans(spark)
     delete_path(spark, index.path)
     return reduce(DataFrame.unionByName, done)
