@@ -57,5 +57,5 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
-    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op1_quality_rules", "op2_substring_dedup", "op7_minhash", "op9_embedding_dedup", "op10_warc"}
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
+    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op1_quality_rules", "op2_substring_dedup", "op7_minhash", "op9_embedding_dedup", "op10_warc", "op11_lexical_search", "op12_secret_scan", "op13_importance_resampling"}
