@@ -354,3 +354,19 @@ def test_quality_classifier(spark):
     assert (again.weight == model.weight).all()
     assert quality_classifier.classify(docs, quality_classifier.train(docs, marks.limit(0))).count() == 303
     assert quality_classifier.classify(docs.limit(0), model).collect() == []
+
+
+def test_earlier_texts_that_match_stay_in_place(spark, tmp_path):
+    """What is to be verified goes to the texts in the log: their length does not count in the shuffle."""
+    total = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    spent = []
+    for length in (50, 5000):
+        index = substring_dedup.FingerprintIndex(spark, f"file://{tmp_path}/index-{length}", 20)
+        first = [(i, " ".join(words(i, length, 10**6) + words(5000 + i, 30, 10**6))) for i in range(100)]
+        substring_dedup.remove_repeats(spark.createDataFrame(first, "doc_id long, text string"), 20, index).collect()
+        second = [(1000 + i, " ".join(words(5000 + i, 30, 10**6) + ["end"])) for i in range(100)]
+        before = total()
+        out = substring_dedup.remove_repeats(spark.createDataFrame(second, "doc_id long, text string"), 20, index, add=False).collect()
+        spent.append(total() - before)
+        assert all(r.n_removed == 30 for r in out)
+    assert spent[1] < 1.5 * spent[0]

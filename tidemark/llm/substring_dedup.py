@@ -6,8 +6,9 @@ share one, so a run holds about one row for seven windows and still misses none.
 immutable runs, one for each batch, in buckets sorted by fingerprint. A batch's fingerprints are
 merge-joined with the buckets of each run, which are not shuffled; what repeated fingerprints stand for is
 then verified by 128-bit BLAKE2 digests of the very words: first of all words that an anchor's windows
-span, and where these differ, of each window. The words of earlier batches come from texts that the runs
-keep, in buckets by id, of which only those of matching documents leave. ``compact`` merges runs.
+span, and where these differ, of each window. The words of earlier batches come from texts that the log
+keeps, in buckets by id and CRC: what is to be verified goes to them, and they are not shuffled again.
+``compact`` merges runs.
 
 How hot passages are met: fingerprints are counted with partial sums, the join with repeated ones has
 one row a fingerprint on one side, which lets Spark split the other, and equal stretches of one batch of
@@ -80,7 +81,12 @@ def fingerprints(docs: DataFrame, length: int) -> DataFrame:
 
 #: Rows of one fingerprint, in a batch of rows, that go to one bucket of a run.
 HOT_ROWS = 1000
-_ANCHORS, _TEXTS = "key long, fp long, id long, crc long, pos int, batch long, salt int", "key long, id long, text string"
+_ANCHORS, _TEXTS = "key long, fp long, id long, crc long, pos int, batch long, salt int", "key long, id long, text string, crc long"
+
+
+def _with_crc(docs: DataFrame) -> DataFrame:
+    """``docs`` with the CRC-32 of ``text`` (null: of the empty text), which tells rows of one id apart."""
+    return docs.withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def _key(fp: Column, salt: Column) -> Column:
@@ -111,7 +117,7 @@ def _salted(anchors: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """The log: folders run-00000-B, run-00001-B, ... under ``path``, where B is the number of buckets. Each
     holds anchors, in buckets by key and sorted by it, and the names of its batches; merging runs rewrites
-    these alone. Folders texts-N-B hold the texts of batch N, in buckets by a key made from their id, and stay
+    these alone. Folders texts-N-B hold the texts of batch N, in buckets by a key made from their id and CRC, and stay
     as they are. A batch's own rows never count as earlier ones, and a batch that the log holds is
     not added again, so that sending a batch twice, as after a failure, gives the same result."""
 
@@ -163,7 +169,7 @@ class FingerprintIndex:
         if batch not in self.batches():
             texts = f"{self.path}/texts-{batch}-{self.buckets}"
             delete_path(self.spark, texts)
-            self._write(docs.select(F.xxhash64("id").alias("key"), "id", "text"), texts)
+            self._write(_with_crc(docs.select("id", "text")).select(F.xxhash64("id", "crc").alias("key"), "id", "text", "crc"), texts)
             self._add(_salted(anchors.select("*", F.lit(batch).cast("long").alias("batch"))), {batch})
 
     def matches(self, fps: DataFrame, batch: int) -> DataFrame:
@@ -181,18 +187,19 @@ class FingerprintIndex:
                 found.append(more.join(keys.select(_key(F.col("wanted"), F.col("s")).alias("key"), "wanted").hint("merge"), "key").where("fp = wanted"))
         return reduce(DataFrame.unionByName, [x.select("fp", "id", "crc", "pos") for x in found])
 
-    def texts(self, ids: DataFrame, batch: int) -> DataFrame:
-        """(id, text) of the documents ``ids`` (id) in other batches, which are read in place as well."""
-        keys = ids.select(F.xxhash64("id").alias("key"), F.col("id").isNull().alias("none")).distinct()
-        # this hash has an inverse: two ids with one key are equal, unless one of them is null
-        same = (F.col("id").isNull() & F.col("none")) | (F.col("id").isNotNull() & ~F.col("none"))
+    def with_texts(self, lists: DataFrame, batch: int) -> list[DataFrame]:
+        """For each batch of the log but ``batch``: the rows of ``lists`` (pid, pcrc and others; one a text) that belong to
+        a text of that batch, with it (id, text). Texts are read bucket by bucket, in place; only ``lists`` is dealt
+        to the buckets."""
+        wanted = lists.withColumn("key", F.xxhash64("pid", "pcrc"))
         known = {str(b) for b in self.batches()} - {str(batch)}
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         fs = path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
         names = [s.getPath().getName().split("-") for s in fs.listStatus(path(self.path))]
         folders = [(f"{self.path}/{'-'.join(n)}", int(n[2])) for n in names if n[0] == "texts" and n[1] in known]
-        found = [self._read(folder, buckets, _TEXTS).join(keys.hint("merge"), "key").where(same).select("id", "text") for folder, buckets in folders]
-        return reduce(DataFrame.unionByName, found) if found else ids.select("id", F.lit("").alias("text")).limit(0)
+        # two texts may share a key by chance; equalities as such would become keys of the join, which the buckets do not serve
+        same = ((F.col("id").isNull() & F.col("pid").isNull()) | (F.col("id").bitwiseXOR(F.col("pid")) == 0)) & (F.col("crc").bitwiseXOR(F.col("pcrc")) == 0)
+        return [self._read(folder, buckets, _TEXTS).join(wanted.hint("merge"), "key").where(same) for folder, buckets in folders]
 
     def compact(self) -> None:
         """Merge the anchors of all runs into one run. Old runs go once the new one is complete; a run that a crash leaves behind
@@ -284,7 +291,8 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
             if parts:
                 yield _settled(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
-    return docs.select("id", "text", "age", "units").mapInArrow(run, _PLACED)
+    # other columns come along unread, so that the texts' exchange can serve another join too
+    return docs.select("id", "text", "age", "units", *(c for c in docs.columns if c == "rest")).mapInArrow(run, _PLACED)
 
 
 def _first_place(new: np.ndarray, age: np.ndarray, ids: np.ndarray, null: np.ndarray, loc: np.ndarray) -> np.ndarray:
@@ -424,42 +432,46 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
     if index is not None and index.length != length:
         raise ValueError(f"the index holds windows of {index.length} words")
 
-    rest = F.struct(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.lit(1).alias("one"))
-
-    def plain(df: DataFrame, age: int) -> DataFrame:
-        return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(age).alias("age"))
-
     number = batch_number(batch_name or uuid.uuid4().hex)
     if index and len(index.runs()) >= index.most_runs:
         index.compact()
         forget_plans(docs.sparkSession)
-    batch, old = plain(docs, 1), index.runs() if index else []
-    whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lit(1).alias("age"), rest.alias("rest")) if keep else batch
+    old = index.runs() if index else []
+    rest = F.struct(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.lit(1).alias("one")).alias("rest")
+    batch = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *([rest] if keep else []))
     # each task sorts what it has read: nothing is shuffled to write the batch's run
     run = stored(fingerprints(batch, length).sortWithinPartitions("fp"), "fingerprints")
-    every, texts = run.withColumn("age", F.lit(1)), batch
+    every = run.withColumn("age", F.lit(1))
     if old:
         earlier = stored(index.matches(run.select("fp").distinct(), number), "matches")
         every = every.unionByName(earlier.withColumn("age", F.lit(0)))
-        texts = batch.unionByName(index.texts(earlier.select("id"), number).withColumn("age", F.lit(0)))
     if index and add:
         index.append(batch.select("id", "text"), run, number)
     # at least one occurrence must be new for anything to be removed
     repeated = stored(every.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.max("age").alias("newest")).where("n > 1 AND newest = 1").select("fp"), "repeated-fingerprints")
-    # a list belongs to one text of an id, and repeated rows of that text share it: it never outgrows the text
-    texts, whole = (df.withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))) for df in (texts, whole))
-    places = every.join(repeated, "fp").groupBy(F.col("id").alias("pid"), F.col("age").alias("page"), F.col("crc").alias("pcrc")).agg(F.collect_set("pos").alias("pos"))
-    at = F.col("id").eqNullSafe(F.col("pid")) & (F.col("age") == F.col("page")) & (F.col("crc") == F.col("pcrc"))
-
-    def listed(rows: DataFrame, name: str) -> DataFrame:
-        crc = F.col("loc").bitwiseAND(F.lit((1 << 32) - 1)).alias("pcrc")
-        return rows.groupBy(F.col("id").alias("pid"), F.col("age").alias("page"), crc).agg(F.collect_set(F.struct("loc", "n")).alias(name))
-
-    # the texts' exchange by id and CRC serves all three joins
-    units = _judged(_units(texts.join(places, at), length))
-    single = _judged(_windows(texts.join(listed(units.where("deep"), "units"), at), length))
-    repeats = listed(units.where("NOT deep").unionByName(single.where("NOT deep")), "locs")
-    marked = whole.join(repeats, at, "left")
+    batch = _with_crc(batch)
+    at = F.col("id").eqNullSafe(F.col("pid")) & (F.col("crc") == F.col("pcrc"))
+
+    def listed(rows: DataFrame, item: Column, crc: Column, name: str) -> DataFrame:
+        # a list belongs to one text of an id, and repeated rows of that text share it: it never outgrows the text
+        return rows.groupBy(F.col("id").alias("pid"), crc.alias("pcrc")).agg(F.collect_set(item).alias(name))
+
+    def with_texts(new: DataFrame, earlier: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+        """Lists of the batch and of earlier ones, each with its text and age."""
+        parts = [batch.join(new, at).withColumn("age", F.lit(1))]
+        parts += [x.withColumn("age", F.lit(0)) for x in (index.with_texts(earlier, number) if old else [])]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (x.select(*(c for c in ("id", "text", "age", *carried) if c in x.columns)) for x in parts))
+
+    places = [listed(rows.join(repeated, "fp"), F.col("pos"), F.col("crc"), "pos") for rows in (run, earlier if old else run)]
+    # written: what is left to do reads it three times, and the exchanges behind it may go
+    units = stored(_judged(_units(with_texts(*places, ("pos",)), length)), "units")
+    forget_plans(docs.sparkSession)
+    loc = F.col("loc").bitwiseAND(F.lit((1 << 32) - 1)), "units"
+    deep = [listed(units.where(F.col("deep") & (F.col("age") == age)), F.struct("loc", "n"), *loc) for age in (1, 0)]
+    # the texts' exchange serves this join and the last one: it has the same columns in both
+    single = _judged(_windows(with_texts(*deep, ("units", "rest")), length))
+    repeats = listed(units.where("NOT deep").unionByName(single.where("NOT deep")), F.struct("loc", "n"), loc[0], "locs")
+    marked = batch.join(repeats, at, "left")
     out = _without(marked if keep else marked.withColumn("rest", rest), length, spaced)
     out = out.select("id", "n_words", "n_removed", "kept_text", *(F.col(f"rest.k{i}").alias(f"__k{i}") for i in range(len(keep))))
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept_text", *(F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)))
