@@ -254,3 +254,19 @@ def test_scratch_folder(spark, monkeypatch):
     Cluster.Held = Held
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch._base(Cluster)
+
+
+def test_partitions_are_written_in_time_order_whatever_is_constant(spark, tmp_path):
+    """Rows come in another order than that of their times; names that are constants take no sort away."""
+    n = 2000
+    shuffled = spark.range(n).select((F.col("id") * 7919 % n).alias("agg_trade_id"), F.lit(1.0).alias("price"), F.lit(1.0).alias("quantity"), F.lit(1).alias("first_trade_id"), F.lit(1).alias("last_trade_id"), F.lit(True).alias("is_buyer_maker"))
+    shuffled = shuffled.withColumns({"transact_time": F.lit(1_704_067_200_000_000) + F.col("agg_trade_id"), "market": F.lit("Spot")})
+    for name, symbol in (("one", F.lit("A")), ("two", F.when(F.col("agg_trade_id") % 2 == 0, "A").otherwise("B")), ("none", F.lit(None).cast("string"))):
+        path = str(tmp_path / name)
+        tables.replace(shuffled.withColumn("symbol", symbol), path, TRADES)
+        files = list((tmp_path / name).rglob("*.parquet"))
+        for f in files:
+            times = pq.ParquetFile(f).read(columns=["transact_time"])["transact_time"].to_pylist()
+            assert times == sorted(times)
+        assert tables.read(spark, path, TRADES).where("market = 'Spot'").count() == n
+        assert {r.symbol for r in tables.read(spark, path, TRADES).select("symbol").distinct().collect()} == {"one": {"A"}, "two": {"A", "B"}, "none": {None}}[name]

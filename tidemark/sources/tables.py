@@ -128,6 +128,10 @@ def laid_out(df: DataFrame, kind: DataType) -> DataFrame:
     partitions share a task, and a large one (a busy symbol's month) is split over several."""
     df = df if "month" in df.columns else df.withColumn("month", month_of(kind))
     order = list(dict.fromkeys([*PARTITIONS, kind.time, *kind.key]))
+    # the optimizer strikes constants, such as one market's name, from a sort; the writer then no longer finds the
+    # order it needs and puts its own, by partition alone, in this one's place
+    either = (F.hash(*order[len(PARTITIONS) :]) < 0).cast("int")
+    df = df.withColumns({p: F.get(F.array(p, p), either) for p in PARTITIONS})
     return df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*order)
 
 
