@@ -36,3 +36,12 @@ def test_entry_works_without_the_optional_subpackage(spark):
 
     assert set(catalog.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_lines_of_archives_are_not_broadcast(spark):
+    """Their size is guessed from the archives' listing; only what has a row a file may go through the driver."""
+    df = stored_catalog.landed_zip(spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.split("== Initial Plan ==")[0].splitlines() if "Join [archive#" in x and "Inner" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)

@@ -254,7 +254,8 @@ def landed_zip(spark: SparkSession, d: str) -> DataFrame:
     lines = landed.without_header(landed.archive_lines(spark, path), "agg_trade_id", ("archive", "name"))
     trades = landed.accepted(landed.parse_trades(lines, F.lit("UsdFutures"), F.lit("ms")))
     checked = landed.checksums(spark, path).select(F.col("name").alias("archive"), "status")
-    return trades.join(checked, "archive").select("archive", "status", "agg_trade_id", "price", "transact_time", F.col("place.row").alias("row"))
+    # Spark takes lines for as small as the archives' listing, and would send them all to the driver to broadcast them
+    return trades.hint("merge").join(checked, "archive").select("archive", "status", "agg_trade_id", "price", "transact_time", F.col("place.row").alias("row"))
 
 
 @query("SELECT event_id, event_type, value FROM events")
