@@ -178,13 +178,15 @@ class FingerprintIndex:
         found = []
         for run in self.runs():
             rows = self._anchors(run).where(F.col("batch") != batch)
-            # the same exchange of the batch serves all runs
-            found.append(rows.where("salt = 0").drop("fp").join(fps.select(F.col("fp").alias("key")).hint("merge"), "key").withColumnRenamed("key", "fp"))
+            # rows are only kept or not, never joined; the same exchange of the batch serves all runs
+            found.append(rows.where("salt = 0").drop("fp").join(fps.select(F.col("fp").alias("key")).hint("merge"), "key", "left_semi").withColumnRenamed("key", "fp"))
             more = rows.where("salt > 0")
             if not more.isEmpty():
                 hot = more.groupBy("fp").agg(F.max("salt").alias("most"))
-                keys = fps.join(hot, "fp").select(F.col("fp").alias("wanted"), F.explode(F.sequence(F.lit(1), "most")).alias("s"))
-                found.append(more.join(keys.select(_key(F.col("wanted"), F.col("s")).alias("key"), "wanted").hint("merge"), "key").where("fp = wanted"))
+                wanted = fps.join(hot, "fp").select(F.col("fp").alias("wanted"), F.explode(F.sequence(F.lit(1), "most")).alias("s"))
+                wanted = wanted.select(_key(F.col("wanted"), F.col("s")).alias("wanted_key"), "wanted").hint("merge")
+                # an equality as such would become a key of the join, which the buckets do not serve
+                found.append(more.join(wanted, (F.col("key") == F.col("wanted_key")) & (F.col("fp").bitwiseXOR(F.col("wanted")) == 0), "left_semi"))
         return reduce(DataFrame.unionByName, [x.select("fp", "id", "crc", "pos") for x in found])
 
     def with_texts(self, lists: DataFrame, batch: int) -> list[DataFrame]:
