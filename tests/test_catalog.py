@@ -4,7 +4,9 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators import watermark
 from tidemark.plans import catalog, stored_catalog  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -45,3 +47,13 @@ def test_lines_of_archives_are_not_broadcast(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     joins = [x for x in plan.split("== Initial Plan ==")[0].splitlines() if "Join [archive#" in x and "Inner" in x]
     assert joins and all("SortMergeJoin" in x for x in joins)
+
+
+def test_a_plan_of_files_reads_its_names_once(spark, tmp_path):
+    day = F.lit("2024-01-01").cast("date")
+    files = spark.range(6).select(F.lit("A").alias("symbol"), F.concat(F.lit("f"), F.col("id")).alias("name"), F.add_months(day, F.col("id").cast("int") % 3).alias("period"), (F.col("id") > 2).alias("daily"))
+    files.write.parquet(str(tmp_path / "files"))
+    marks = spark.createDataFrame([("A",)], "symbol string").withColumn("watermark", day)
+    plan = watermark.file_plan(spark.read.parquet(str(tmp_path / "files")), marks, ["symbol"], F.lit("2024-03-15").cast("date"))
+    assert {r.name for r in plan.collect()} == {"f0", "f1", "f5"}
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import scalars as S
 from ..functions.predicates import matches
@@ -64,13 +65,13 @@ def file_plan(manifest: DataFrame, marks: DataFrame, groups: Sequence[str], as_o
     day to yesterday whose month is after the newest planned monthly file. Nothing for a group whose
     watermark is past yesterday."""
     yesterday, this_month = F.date_sub(as_of, 1), S.month_start(as_of)
-    rows = manifest.join(marks, list(groups)).where(F.col("period").isNotNull() & (F.col("watermark") <= yesterday))
-    monthly = rows.where(~F.col("daily") & (F.col("period") >= S.month_start(F.col("watermark"))) & (F.col("period") < this_month))
-    daily = rows.where(F.col("daily") & F.col("period").between(F.col("watermark"), yesterday))
-    covered = monthly_cover(monthly, groups)
-    daily = daily.join(covered, list(groups), "left").where(F.col("covered").isNull() | (S.month_start(F.col("period")) > F.col("covered")))
-    columns = [*groups, "name", "period", "daily"]
-    return monthly.select(*columns).unionByName(daily.select(*columns))
+    period, daily, mark = F.col("period"), F.col("daily"), F.col("watermark")
+    wanted = F.when(daily, period.between(mark, yesterday)).when(~daily, (period >= S.month_start(mark)) & (period < this_month))
+    rows = manifest.join(marks, list(groups)).where((mark <= yesterday) & wanted)
+    # the newest planned month comes by a window over what is planned: names are read and dealt once
+    covered = F.max(F.when(~daily, period)).over(Window.partitionBy(*groups))
+    rows = rows.withColumn("__covered", covered).where(~daily | F.col("__covered").isNull() | (S.month_start(period) > F.col("__covered")))
+    return rows.select(*groups, "name", "period", "daily")
 
 
 def window_plan(marks: DataFrame, end: Column, today: Column, interval_ms: int = 300_000) -> DataFrame:

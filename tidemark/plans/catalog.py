@@ -216,7 +216,8 @@ SELECT o_custkey, 'C' || o_custkey || '-1m-' || CASE WHEN daily THEN strftime(pe
 def file_plan(spark: SparkSession, d: str) -> DataFrame:
     o = _table(spark, d, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("day"))
     prefix = F.concat(F.lit("C"), F.col("o_custkey").cast("string"), F.lit("-1m-"))
-    names = o.select("o_custkey", F.concat(prefix, F.date_format("day", "yyyy-MM"), F.lit(".zip")).alias("name")).unionByName(o.select("o_custkey", F.concat(prefix, F.date_format("day", "yyyy-MM-dd"), F.lit(".zip")).alias("name"))).distinct()
+    months, days = o.select("o_custkey", S.month_start(F.col("day")).alias("day")).distinct(), o.distinct()  # dates are told apart faster than names
+    names = landed.concatenated([x.select("o_custkey", F.concat(prefix, F.date_format("day", form), F.lit(".zip")).alias("name")) for x, form in ((months, "yyyy-MM"), (days, "yyyy-MM-dd"))])
     files = names.select("o_custkey", "name", S.file_period(F.col("name")).alias("period"), S.is_daily(F.col("name")).alias("daily"))
     marks = o.groupBy("o_custkey").agg(F.date_add(F.min("day"), 700).alias("watermark"))
     return watermark.file_plan(files, marks, ["o_custkey"], F.lit("2001-06-15").cast("date"))
