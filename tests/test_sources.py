@@ -270,3 +270,9 @@ def test_partitions_are_written_in_time_order_whatever_is_constant(spark, tmp_pa
             assert times == sorted(times)
         assert tables.read(spark, path, TRADES).where("market = 'Spot'").count() == n
         assert {r.symbol for r in tables.read(spark, path, TRADES).select("symbol").distinct().collect()} == {"one": {"A"}, "two": {"A", "B"}, "none": {None}}[name]
+
+
+def test_a_line_is_split_once(spark, tmp_path):
+    (tmp_path / "A-aggTrades-2024-12-01.csv").write_text(_trade_lines(3))
+    got = landed.accepted(landed.parse_trades(landed.csv_lines(spark, str(tmp_path)), F.lit("UsdFutures"), F.lit("ms")))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

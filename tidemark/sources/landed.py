@@ -55,10 +55,16 @@ def _at(k: int) -> Column:
     return F.try_element_at(F.col("__f"), F.lit(k + 1))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is made once a row: a filter on a plain column is carried below it, and makes
+    its value anew for each use."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def parse_trades(lines: DataFrame, market: Column, unit: Column) -> DataFrame:
     """Trade columns, times in microseconds, and ``reject`` (why a line is refused, else null). Spot lines
     have 8 fields, of which the last is dropped, others 7; nothing is quoted."""
-    df = lines.withColumn("__f", F.split("line", ",")).withColumn("__n", F.when(market == "Spot", 8).otherwise(7))
+    df = _once(lines, "__f", F.split("line", ",")).withColumn("__n", F.when(market == "Spot", 8).otherwise(7))
     parsed = {
         "agg_trade_id": S.strict_long(_at(0)),
         "price": S.strict_double(_at(1)),
@@ -68,22 +74,22 @@ def parse_trades(lines: DataFrame, market: Column, unit: Column) -> DataFrame:
         "transact_time": S.scaled_micros(S.strict_long(_at(5)), unit),
         "is_buyer_maker": S.strict_bool(_at(6)),
     }
-    df = df.withColumns(parsed)
+    df = _once(df, "__p", F.struct(*(v.alias(c) for c, v in parsed.items()))).withColumns({c: F.col(f"__p.{c}") for c in parsed})
     reject = F.when(F.size("__f") != F.col("__n"), F.concat(F.lit("fields: "), F.size("__f")))
     for c in parsed:
         reject = reject.when(F.col(c).isNull(), F.lit(c))
-    return df.withColumn("reject", reject).drop("__f", "__n")
+    return df.withColumn("reject", reject).drop("__f", "__n", "__p")
 
 
 def parse_depth(lines: DataFrame) -> DataFrame:
     """Order-book columns, times in milliseconds, and ``reject``. Further fields are ignored."""
-    df = lines.withColumn("__f", F.split("line", ","))
+    df = _once(lines, "__f", F.split("line", ","))
     parsed = {"snapshot_time": S.exact_millis(_at(0)), "percentage": S.strict_decimal(_at(1), 10, 2), "depth": S.strict_double(_at(2)), "notional": S.strict_double(_at(3))}
-    df = df.withColumns(parsed)
+    df = _once(df, "__p", F.struct(*(v.alias(c) for c, v in parsed.items()))).withColumns({c: F.col(f"__p.{c}") for c in parsed})
     reject = F.when(F.lit(False), "")
     for c in parsed:
         reject = reject.when(F.col(c).isNull(), F.lit(c))
-    return df.withColumn("reject", reject).drop("__f")
+    return df.withColumn("reject", reject).drop("__f", "__p")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
