@@ -202,6 +202,30 @@ def test_thousands_of_rows_of_one_id(spark):
     assert got == {(None, 150): {0}, (None, 190): {0}, (7, 40): {40}}
 
 
+def test_the_index_gets_equal_stretches_of_a_slice_once(spark, tmp_path):
+    """2,000 copies, some with words of their own after them, leave the anchors of a few texts in a run."""
+    index, passage = substring_dedup.FingerprintIndex(spark, f"file://{tmp_path}/index", 20), words(5, 60)
+    batch = [(i, " ".join(passage + (words(7000 + i, 4, 10**6) if i < 40 else []))) for i in range(2000)]
+    df = spark.createDataFrame(batch, "doc_id long, text string").coalesce(1)
+    every = substring_dedup.fingerprints(df.selectExpr("doc_id AS id", "text"), 20).count()
+    want, seen = _without_repeats(batch, 20)
+    assert _result(substring_dedup.remove_repeats(df, 20, index)) == sorted(want, key=repr)
+    assert every > 2000 * 3 and index._anchors(index.runs()[0]).count() < 200
+    later = [(i, " ".join(words(8000 + i, 5, 10**6) + passage[i:] + words(7000 + i, 4, 10**6))) for i in range(40)]
+    want, _ = _without_repeats(later, 20, seen)
+    got = substring_dedup.remove_repeats(spark.createDataFrame(later, "doc_id long, text string"), 20, index)
+    assert _result(got) == sorted(want, key=repr) and any(gone for _, _, gone, _ in want)
+
+
+def test_the_last_batch_of_a_table_is_not_indexed(spark, monkeypatch):
+    added, append = [], substring_dedup.FingerprintIndex.append
+    monkeypatch.setattr(substring_dedup.FingerprintIndex, "append", lambda self, docs, anchors, batch: (added.append(batch), append(self, docs, anchors, batch)))
+    rows = [(i, " ".join(words(i % 7, 30))) for i in range(60)]
+    got = substring_dedup.remove_repeats_in_batches(spark.createDataFrame(rows, "doc_id long, text string"), 20)
+    assert _result(got) == sorted(_without_repeats(rows, 20)[0], key=repr)
+    assert added == [substring_dedup.batch_number(f"batch {k}") for k in range(2)]
+
+
 def test_a_batch_does_not_shuffle_the_index(spark, tmp_path):
     """Shuffled bytes follow the batch, not the runs it is merged with."""
     index, spent = substring_dedup.FingerprintIndex(spark, f"file://{tmp_path}/index", 20), []

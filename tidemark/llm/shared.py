@@ -10,7 +10,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..sources.scratch import clear_scratch, delete_path, release, scratch_path, scratch_root, stored, stored_alone  # noqa: F401
+from ..sources.scratch import clear_scratch, delete_path, forget_plans, release, scratch_path, scratch_root, stored, stored_alone  # noqa: F401
 
 #: Texts are hashed in slices of about so many bytes, which bounds the temporary arrays of a task.
 SLICE_BYTES = 1 << 20

@@ -12,13 +12,13 @@ keeps, in buckets by id and CRC: what is to be verified goes to them, and they a
 
 How hot passages are met: fingerprints are counted with partial sums, the join with repeated ones has
 one row a fingerprint on one side, which lets Spark split the other, and equal stretches of one batch of
-rows are settled there, so that a hot passage leaves it once. In a run, a fingerprint's rows beyond
+rows are settled there, so that a hot passage leaves it once. A run of the log gets equal stretches of a
+slice of texts once, since the first serves later batches as well as all; a fingerprint's rows beyond
 ``HOT_ROWS`` of one batch of rows go to buckets of their own.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 import uuid
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Words, delete_path, mix, runs_hash, scratch_path, slices, stored, stored_alone, text_buffers
+from .shared import Words, delete_path, forget_plans, mix, runs_hash, scratch_path, slices, stored, stored_alone, text_buffers
 
 #: Words of the runs that anchor a window.
 ANCHOR = 6
@@ -61,17 +61,32 @@ def _window_anchors(w: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return runs, starts, starts + at[starts]
 
 
-def fingerprints(docs: DataFrame, length: int) -> DataFrame:
+def _first_alike(w: Words, runs: np.ndarray, starts: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
+    """The anchors without those whose windows span the very words that an earlier anchor's windows span."""
+    head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))  # an anchor's windows start at neighbouring words
+    begin, end, at = starts[head], starts[np.append(head[1:], len(starts)) - 1] + length, anchor[head]
+    _, group, count = np.unique(runs[at], return_inverse=True, return_counts=True)
+    alike = np.flatnonzero(count[group] > 1)
+    if not len(alike):
+        return at
+    d1, d2 = _digests(*w.joined(), begin[alike], end[alike])
+    order = np.lexsort((d2, d1))  # stable
+    again = np.append(False, (d1[order][1:] == d1[order][:-1]) & (d2[order][1:] == d2[order][:-1]))
+    return np.delete(at, alike[order[again]])
+
+
+def fingerprints(docs: DataFrame, length: int, once: bool = False) -> DataFrame:
     """(fp, id, crc, pos): the anchors of each text's windows. ``docs`` has id and text; crc is the text's
-    CRC-32, which tells rows of one id apart."""
+    CRC-32, which tells rows of one id apart. With ``once``, of anchors in a slice of texts whose windows span
+    the same words only the first is given: it stands for all to those that come later."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             for a, b in slices(offsets):
                 w = Words(data, offsets[a : b + 1])
-                runs, _, anchor = _window_anchors(w, length)
-                anchor = np.unique(anchor)
+                runs, starts, anchor = _window_anchors(w, length)
+                anchor = _first_alike(w, runs, starts, anchor, length) if once and len(starts) else np.unique(anchor)
                 row = np.searchsorted(w.first, anchor, "right") - 1
                 crc = np.array([zlib.crc32(data[offsets[i] : offsets[i + 1]]) for i in range(a, b)], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(runs[anchor].view(np.int64)), batch.column(0).take(pa.array(row + a)), pa.array(crc[row]), pa.array((anchor - w.first[row]).astype(np.int32))], ["fp", "id", "crc", "pos"])
@@ -410,13 +425,6 @@ def batch_number(name: str) -> int:
     return int.from_bytes(hashlib.sha256(name.encode()).digest()[:7])
 
 
-def forget_plans(spark: SparkSession) -> None:
-    """Let the plans of finished jobs go, on both sides of the driver: Spark deletes shuffle files when the
-    plans that wrote them have been collected."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, batch_name: str | None = None, add: bool = True) -> DataFrame:
     """(id, n_words, n_removed, kept_text) and the columns ``keep``: each row of ``docs`` without the words covered by a window
     whose word sequence also starts earlier: in a document of an earlier batch that ``index`` has seen, in
@@ -448,9 +456,10 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
         earlier = stored(index.matches(run.select("fp").distinct(), number), "matches")
         every = every.unionByName(earlier.withColumn("age", F.lit(0)))
     if index and add:
-        index.append(batch.select("id", "text"), run, number)
+        index.append(batch.select("id", "text"), fingerprints(batch, length, once=True), number)
     # at least one occurrence must be new for anything to be removed
     repeated = stored(every.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.max("age").alias("newest")).where("n > 1 AND newest = 1").select("fp"), "repeated-fingerprints")
+    forget_plans(docs.sparkSession)
     batch = _with_crc(batch)
     at = F.col("id").eqNullSafe(F.col("pid")) & (F.col("crc") == F.col("pcrc"))
 
@@ -482,7 +491,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, index: FingerprintIndex |
 def remove_repeats_in_batches(docs: DataFrame, length: int = 20, batches: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), spaced: bool = False, digest: bool = False) -> DataFrame:
     """``remove_repeats`` of a whole table through an index of its own: ranges of ids of about equal size go
     in as batches, smaller ids first, so that earlier batches hold the earlier documents. The index is
-    compacted before the last batch. With ``digest``, kept_text is replaced by its SHA-256 (kept_sha256).
+    compacted before the last batch, which is not added to it. With ``digest``, kept_text is replaced by its SHA-256 (kept_sha256).
 
     Null ids are in the first batch, and all rows of an id in one. Each batch's result is written down; its
     intermediate tables, and the index at the end, go again."""
@@ -502,8 +511,9 @@ def remove_repeats_in_batches(docs: DataFrame, length: int = 20, batches: int =
 
         done.append(stored_alone(batch, "batch"))
         forget_plans(spark)
-        plain = part.select(id_.alias("id"), F.col(f"`{text_col}`").alias("text"))
-        index.append(plain, fingerprints(plain, length), batch_number(f"batch {k}"))
-        forget_plans(spark)
+        if k < len(bounds):  # nothing is looked up once the last batch is done
+            plain = part.select(id_.alias("id"), F.col(f"`{text_col}`").alias("text"))
+            index.append(plain, fingerprints(plain, length, once=True), batch_number(f"batch {k}"))
+            forget_plans(spark)
     delete_path(spark, index.path)
     return reduce(DataFrame.unionByName, done)

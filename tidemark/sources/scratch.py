@@ -7,6 +7,7 @@ take it away.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -86,6 +87,13 @@ def stored_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
     return out
 
 
+def forget_plans(spark: SparkSession) -> None:
+    """Let the plans of finished jobs go, on both sides of the driver: Spark deletes shuffle files when the
+    plans that wrote them have been collected, and its heap shrinks again."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def release(*frames: DataFrame) -> None:
     """Delete tables that ``stored`` wrote and that nothing reads any more; other frames are left alone."""
     for df in frames:
