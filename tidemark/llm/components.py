@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import release, stored
+from .shared import forget_plans, release, stored
 
 
 #: Up to so many edges (a few MB) the joins' other side is broadcast and results take few files.
@@ -64,5 +64,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         release(edges)
         edges = rounds.kept(rounds.small_star(large))
         release(large)
+        forget_plans(edges.sparkSession)
     stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     return stars.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())

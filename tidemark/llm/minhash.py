@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import LOWER, SPACE, Words, mix, runs_hash, slices, sorted_groups, stored, stored_alone, text_buffers, word_bounds
+from .shared import LOWER, SPACE, Words, forget_plans, mix, runs_hash, slices, sorted_groups, stored, stored_alone, text_buffers, word_bounds
 
 #: Rows of one side of a comparison block.
 BLOCK = 512
@@ -298,13 +298,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     banded = reps.select("rep", F.explode("bands").alias("key"))
     buckets = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "minhash-buckets")
     members = stored(banded.join(buckets, "key"), "minhash-members")
+    forget_plans(docs.sparkSession)
     pairs = stored(_likely(_leader_pairs(members), reps, scheme), "minhash-pairs")
     near = members.where("m > 2").select("rep").unionByName(pairs.select(F.col("u").alias("rep"))).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()
     texts = stored(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(near, "rep", "left_semi").dropDuplicates(["rep", "text"]), "minhash-texts")
     links = stored(_confirm(pairs, texts, scheme), "minhash-links")
+    forget_plans(docs.sparkSession)
     parts = connected_components(links)
     more = _cross_links(members, stored(parts, "minhash-components"), reps, texts, scheme)
     links = links.unionByName(more)
+    forget_plans(docs.sparkSession)
     # an id that stands for several classes, or repeats with several texts, ties them together
     repeated = full.join(reps, "digest").select(full["id"].alias("u"), reps["rep"].alias("v")).where("u != v").distinct()
     parts = connected_components(links.unionByName(repeated))
